@@ -81,13 +81,13 @@ def insert_only(
     """Insert staging rows whose key the target does not hold yet."""
     keys = list(keys)
     staged = staging.select(*target.columns).dropDuplicates()
-    staged_keys = staged.select(*keys).where(_not_null(keys))
-    if fits(staged_keys, max_broadcast_rows):
+    batch_keys = staging.select(*keys).where(_not_null(keys))
+    if fits(batch_keys, max_broadcast_rows):
         # Stream the target's key column once through a broadcast of the batch
         # keys; the matches are at most the batch's distinct keys.
         matched = (
             target.select(*keys)
-            .join(F.broadcast(staged_keys.distinct()), keys, "left_semi")
+            .join(F.broadcast(batch_keys), keys, "left_semi")
             .distinct()
         )
         new = staged.join(F.broadcast(matched), keys, "left_anti")
@@ -105,5 +105,6 @@ def upsert(
     """Type-1 upsert: staging rows replace target rows with an equal key."""
     keys = list(keys)
     staged = staging.select(*target.columns).dropDuplicates()
-    kept = anti_join(target, staged, keys, max_broadcast_rows)
+    # Membership needs the batch keys only, not its de-duplicated rows.
+    kept = anti_join(target, staging, keys, max_broadcast_rows)
     return Merge(kept=kept, inserted=staged, target=target)
