@@ -81,25 +81,34 @@ class TableStore:
 
     # -- reading --------------------------------------------------------------
 
+    def _exists(self, path: str) -> bool:
+        jvm = self.spark.sparkContext._jvm
+        hpath = jvm.org.apache.hadoop.fs.Path(path)
+        fs = hpath.getFileSystem(self.spark.sparkContext._jsc.hadoopConfiguration())
+        return bool(fs.exists(hpath))
+
     def published_versions(self, spec: TableSpec) -> list[int]:
-        """Published version numbers of a table (one marker row per run)."""
-        try:
-            markers = self.spark.read.parquet(f"{self._markers_dir()}/table={spec.name}")
-        except Exception:  # noqa: BLE001 - no marker written yet
+        """Published version numbers of a table (one marker row per run; the
+        list is as long as the number of runs, never data-sized)."""
+        where = f"{self._markers_dir()}/table={spec.name}"
+        if not self._exists(where):
             return []
+        markers = self.spark.read.parquet(where)
         return sorted(int(r.version) for r in markers.select("version").distinct().collect())
 
     def next_version(self, spec: TableSpec) -> int:
         versions = self.published_versions(spec)
         return (versions[-1] + 1) if versions else 1
 
-    def current(self, spec: TableSpec, with_partitions: bool = False) -> DataFrame:
+    def current(
+        self, spec: TableSpec, with_partitions: bool = False, versions: list[int] | None = None
+    ) -> DataFrame:
         """The published content (an empty frame of the declared schema if none).
 
         For the fact, ``with_partitions`` keeps arrival_year/arrival_month so
         filters on them prune whole directories.
         """
-        versions = self.published_versions(spec)
+        versions = self.published_versions(spec) if versions is None else versions
         cols = spec.schema.fieldNames() + (list(spec.partition_by) if with_partitions else [])
         if not versions:
             empty = self.spark.createDataFrame([], spec.schema)
@@ -123,14 +132,16 @@ class TableStore:
 
     # -- writing --------------------------------------------------------------
 
-    def stage(self, spec: TableSpec, df: DataFrame, version: int) -> StagedWrite:
+    def stage(
+        self, spec: TableSpec, df: DataFrame, version: int, published: list[int] | None = None
+    ) -> StagedWrite:
         """Write ``df`` as an unpublished version, then check it.
 
         The row count is observed during the write itself; the checks read the
         written files back (key columns only), so the checked data is exactly
         what readers will get.
         """
-        published = self.published_versions(spec)
+        published = self.published_versions(spec) if published is None else published
         if published and version <= published[-1]:
             raise ValueError(f"{spec.name}: version {version} is not after published {published[-1]}")
         path = self.version_dir(spec, version)

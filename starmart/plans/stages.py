@@ -96,11 +96,13 @@ class LoadResult:
         ]
 
 
-def merge_table(store: TableStore, name: str, staging: DataFrame) -> DataFrame:
+def merge_table(
+    store: TableStore, name: str, staging: DataFrame, versions: list[int] | None = None
+) -> DataFrame:
     """What the new version of ``name`` must hold: the fact's new rows only
     (appended as a batch), a dimension's whole merged content."""
     spec = REGISTRY[name]
-    target = store.current(spec)
+    target = store.current(spec, versions=versions)
     if spec.insert_only:
         return insert_only(target, staging, spec.keys).inserted
     return upsert(target, staging, spec.keys).result
@@ -118,8 +120,10 @@ def load_star_files(
     for name in REGISTRY:  # fact, states, origin, unemployment
         spec = REGISTRY[name]
         staging = load_staging(spark, files.path(name), spec)
-        new = merge_table(store, name, staging)
-        staged[name] = store.stage(spec, new, store.next_version(spec))
+        versions = store.published_versions(spec)
+        new = merge_table(store, name, staging, versions)
+        next_version = (versions[-1] + 1) if versions else 1
+        staged[name] = store.stage(spec, new, next_version, published=versions)
     failed = {n: s.problems for n, s in staged.items() if s.problems}
     if failed:
         if raise_on_failure:
