@@ -110,14 +110,18 @@ def write_parquet_observed(
     partition_by: Sequence[str] = (),
     extra_metrics: Sequence = (),
     mode: str = "errorifexists",
+    drop_after: Sequence[str] = (),
 ) -> dict:
     """Write ``df`` as Parquet and return metrics observed during that same job.
 
     The row count (and any reject counts) ride along with the write, so the
-    written frame is never evaluated a second time.
+    written frame is never evaluated a second time. ``drop_after`` names
+    columns that feed the metrics but are not written.
     """
     obs = Observation(f"write-{abs(hash(path))}")
     observed = df.observe(obs, F.count(F.lit(1)).alias("rows"), *extra_metrics)
+    if drop_after:
+        observed = observed.drop(*drop_after)
     writer = observed.write.mode(mode)
     if partition_by:
         writer = writer.partitionBy(*partition_by)

@@ -23,14 +23,27 @@ from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import IntegerType, LongType, StructField, StructType, TimestampType
+from pyspark.sql.types import (
+    IntegerType,
+    LongType,
+    StringType,
+    StructField,
+    StructType,
+    TimestampType,
+)
 
 from starmart.operators.quality import key_profile, write_parquet_observed
+from starmart.plans.tables import cluster_by_arrival_month, with_arrival_partition
 from starmart.schemas import TableSpec
 
-# Table and version live in the marker's directory names.
-_MARKER_SCHEMA = StructType(
-    [StructField("rows", LongType()), StructField("published_at", TimestampType())]
+# Table and version become the marker's directory names.
+_MARKER_ROW_SCHEMA = StructType(
+    [
+        StructField("rows", LongType()),
+        StructField("published_at", TimestampType()),
+        StructField("table", StringType()),
+        StructField("version", LongType()),
+    ]
 )
 
 
@@ -148,9 +161,7 @@ class TableStore:
         partition_by = list(spec.partition_by)
         out = df
         if partition_by:
-            out = df.withColumns(
-                {"arrival_year": F.year("arrival_date"), "arrival_month": F.month("arrival_date")}
-            )
+            out = cluster_by_arrival_month(with_arrival_partition(df))
         metrics = write_parquet_observed(out, path, partition_by=partition_by, mode="overwrite")
         written = self.spark.read.schema(self.stored_schema(spec)).parquet(path)
         profile = key_profile(written, spec.keys).first()
@@ -164,11 +175,14 @@ class TableStore:
             duplicate_keys=int(profile["duplicate_keys"]),
         )
 
-    def publish(self, staged: StagedWrite) -> None:
-        """Make a checked version visible by writing its marker."""
-        marker = self.spark.createDataFrame(
-            [(staged.written_rows, _dt.datetime.now())], _MARKER_SCHEMA
-        )
-        marker.coalesce(1).write.mode("overwrite").parquet(
-            f"{self._markers_dir()}/table={staged.spec.name}/version={staged.version}"
+    def publish(self, *staged: StagedWrite) -> None:
+        """Make checked versions visible by writing their markers.
+
+        All markers go out in one job, so the output committer makes the
+        tables of one run visible together.
+        """
+        rows = [(s.written_rows, _dt.datetime.now(), s.spec.name, s.version) for s in staged]
+        markers = self.spark.createDataFrame(rows, _MARKER_ROW_SCHEMA)
+        markers.coalesce(1).write.mode("append").partitionBy("table", "version").parquet(
+            self._markers_dir()
         )

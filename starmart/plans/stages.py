@@ -14,16 +14,18 @@ from __future__ import annotations
 
 from dataclasses import dataclass, field
 
-from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 from starmart.operators.merge import insert_only, upsert
 from starmart.operators.quality import WriteCheck, read_back, write_parquet_observed
 from starmart.plans.publish import StagedWrite, TableStore
 from starmart.plans.tables import (
-    build_fact,
+    REJECT_FLAGS,
+    build_fact_with_rejects,
     build_origin,
     build_states,
     build_unemployment,
+    cluster_by_arrival_month,
     fact_reject_metrics,
     with_arrival_partition,
 )
@@ -60,17 +62,27 @@ def build_star_files(
     states_csv: str | list[str],
     rates_csv: str | list[str],
     out_root: str,
+    mode: str = "overwrite",
 ) -> BuildResult:
-    """Stage 1: build the four tables from raw files and write them under ``out_root``."""
+    """Stage 1: build the four tables from raw files and write them under ``out_root``.
+
+    Like the surveyed job each table directory is replaced (``mode``); stage 1
+    output is private to its run, so replacing it never hides published data.
+    """
     files = StarFiles(out_root)
     result = BuildResult(files)
 
     raw = read_parquet(spark, raw_fact, RAW_FACT_SCHEMA)
-    # Reject counts are observed on the raw side of the same job that writes.
-    rejects = Observation("fact_rejects")
-    fact = with_arrival_partition(build_fact(raw.observe(rejects, *fact_reject_metrics())))
-    metrics = write_parquet_observed(fact, files.path(FACT.name), partition_by=FACT.partition_by)
-    result.rejects = {k: int(v) for k, v in rejects.get.items()}
+    fact = cluster_by_arrival_month(with_arrival_partition(build_fact_with_rejects(raw)))
+    metrics = write_parquet_observed(
+        fact,
+        files.path(FACT.name),
+        partition_by=FACT.partition_by,
+        extra_metrics=fact_reject_metrics(),
+        mode=mode,
+        drop_after=[REJECT_FLAGS],
+    )
+    result.rejects = {k: int(v or 0) for k, v in metrics.items() if k.startswith("rejected_")}
     result.checks[FACT.name] = read_back(spark, FACT.name, files.path(FACT.name), int(metrics["rows"]))
 
     for spec, df in (
@@ -78,7 +90,7 @@ def build_star_files(
         (STATES, build_states(spark, states_csv)),
         (UNEMPLOYMENT, build_unemployment(spark, rates_csv)),
     ):
-        m = write_parquet_observed(df, files.path(spec.name))
+        m = write_parquet_observed(df, files.path(spec.name), mode=mode)
         result.checks[spec.name] = read_back(spark, spec.name, files.path(spec.name), int(m["rows"]))
     return result
 
@@ -129,6 +141,5 @@ def load_star_files(
         if raise_on_failure:
             raise CheckFailed(f"checks failed, nothing published: {failed}")
         return LoadResult(staged, published=False)
-    for s in staged.values():
-        store.publish(s)
+    store.publish(*staged.values())
     return LoadResult(staged, published=True)

@@ -11,7 +11,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from starmart.functions.casts import reject_counts, rename_columns
+from starmart.functions.casts import rename_columns
 from starmart.functions.dates import compact_date, epoch_day_to_date, month_name_to_number
 from starmart.operators.dedup import distinct_rows, grouped_average
 from starmart.schemas import (
@@ -54,13 +54,34 @@ def build_fact(raw: DataFrame) -> DataFrame:
     return raw.select(*fact_columns())
 
 
-def fact_reject_metrics() -> list[Column]:
-    """Aggregates counting raw values each conversion turned into null.
+REJECT_FLAGS = "_rejects"
+
+
+def fact_reject_flags() -> Column:
+    """One int per raw row: bit i is set when conversion i turned a value into null.
 
-    Evaluated over the raw columns, for ``observe`` on the raw frame.
+    Carried through the clustering shuffle (4 bytes a row) so the counts can
+    be observed on the writing job itself; observing the raw side would also
+    count the rows the range sampler reads.
     """
     conv = _conversions()
-    return reject_counts({f"rejected_{c}": (F.col(c), conv[c]) for c in conv})
+    flags = F.lit(0)
+    for i, c in enumerate(conv):
+        flags = flags + F.when(F.col(c).isNotNull() & conv[c].isNull(), F.lit(1 << i)).otherwise(0)
+    return flags.alias(REJECT_FLAGS)
+
+
+def fact_reject_metrics() -> list[Column]:
+    """Aggregates over ``fact_reject_flags``: rows each conversion turned into null."""
+    return [
+        F.sum(F.shiftright(F.col(REJECT_FLAGS), i).bitwiseAND(1)).cast("bigint").alias(f"rejected_{c}")
+        for i, c in enumerate(_conversions())
+    ]
+
+
+def build_fact_with_rejects(raw: DataFrame) -> DataFrame:
+    """``build_fact`` plus the reject bitmask column."""
+    return raw.select(*fact_columns(), fact_reject_flags())
 
 
 def with_arrival_partition(fact: DataFrame) -> DataFrame:
@@ -73,6 +94,19 @@ def with_arrival_partition(fact: DataFrame) -> DataFrame:
     )
 
 
+def cluster_by_arrival_month(fact: DataFrame) -> DataFrame:
+    """Range-partition fact rows on (arrival_year, arrival_month, immigration_id)
+    before a partitioned write.
+
+    Each task then holds a contiguous slice of months and writes one or two
+    directories instead of one file per month it happens to see; a month
+    holding a third of all rows is cut into many tasks by its id range instead
+    of landing on one (as hashing on the month would do). The partition count
+    follows ``spark.sql.shuffle.partitions`` and AQE coalesces small ranges.
+    """
+    return fact.repartitionByRange("arrival_year", "arrival_month", "immigration_id")
+
+
 def build_origin_from_codes(codes: DataFrame) -> DataFrame:
     """(code, label) text pairs -> ``dimension_origin`` (country_code int, country_name)."""
     return distinct_rows(
