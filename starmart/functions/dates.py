@@ -10,7 +10,8 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from starmart.schemas import MONTH_NAME_PATTERN, SAS_EPOCH
+from starmart.functions.casts import narrow
+from starmart.schemas import MONTH_NAMES, SAS_EPOCH
 
 
 def _col(c: Column | str) -> Column:
@@ -18,8 +19,9 @@ def _col(c: Column | str) -> Column:
 
 
 def epoch_day_to_date(c: Column | str, epoch: str = SAS_EPOCH) -> Column:
-    """Day number (any numeric, fractions truncated) -> date counted from ``epoch``."""
-    return F.date_add(F.lit(epoch).cast("date"), _col(c).try_cast("int"))
+    """Day number (fractions truncated) -> date counted from ``epoch``; null stays null."""
+    c = _col(c)
+    return F.date_add(F.lit(epoch).cast("date"), narrow(c.try_cast("double"), "int"))
 
 
 def compact_date(c: Column | str, pattern: str) -> Column:
@@ -28,9 +30,20 @@ def compact_date(c: Column | str, pattern: str) -> Column:
     The column itself is parsed (never a neighbouring, already converted
     column), and text that does not fit the pattern becomes null.
     """
-    return F.try_to_date(_col(c).cast("string"), pattern)
+    text = _col(c).cast("string")
+    parsed = F.try_to_date(text, pattern)
+    if set(pattern) <= set("yMd"):
+        # All-digit patterns: text of another shape (``D/S``, blanks) is null
+        # without entering the parser, whose failures cost an exception each.
+        return F.when(text.rlike(f"^[0-9]{{{len(pattern)}}}$"), parsed)
+    return parsed
 
 
 def month_name_to_number(c: Column | str) -> Column:
-    """Full English month name (any case) -> 1..12; anything else -> null."""
-    return F.month(F.try_to_date(_col(c), MONTH_NAME_PATTERN))
+    """Full English month name (any case) -> 1..12; anything else -> null.
+
+    Same answers as parsing with the ``MMMM`` pattern, as a lookup in the
+    twelve names: no parser, no per-row exception on bad text.
+    """
+    names = F.array(*[F.lit(n) for n in MONTH_NAMES])
+    return F.nullif(F.array_position(names, F.lower(_col(c))), F.lit(0)).cast("int")

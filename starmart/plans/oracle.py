@@ -139,6 +139,42 @@ _REPORTED = {
 _COUNTED = ["region", "nation", "customer", "supplier", "part", "orders", "lineitem", "events"]
 
 
+def _cap(c: str) -> str:
+    return f"upper(substr({c}, 1, 1)) || lower(substr({c}, 2))"
+
+
+_STAR = f"""
+WITH f AS ({_FACT}),
+origin AS (SELECT n_nationkey AS country_code, n_name AS country_name FROM nation),
+states AS (
+  SELECT DISTINCT {_cap('c_mktsegment')} AS state_name, c_mktsegment AS abbreviation
+  FROM customer WHERE c_mktsegment <> 'MACHINERY'
+),
+unemployment AS (
+  SELECT year, month, state,
+         CAST(SUM(CAST(rate AS DECIMAL(38, 6))) AS DOUBLE) / COUNT(rate) AS avg_rate
+  FROM (
+    SELECT DISTINCT CAST(year(o.o_orderdate) AS INTEGER) AS year,
+           CAST(month(o.o_orderdate) AS INTEGER) AS month,
+           {_cap('c.c_mktsegment')} AS state, o.o_orderpriority AS county,
+           round(o.o_totalprice / 10000, 1) AS rate
+    FROM orders o JOIN customer c ON o.o_custkey = c.c_custkey
+  ) d
+  GROUP BY year, month, state
+),
+lookup AS (
+  SELECT f.immigration_id, b.country_name AS country_of_birth,
+         r.country_name AS country_of_residence, s.state_name,
+         f.arrival_date, f.date_file, f.permitted_to_stay_until
+  FROM f
+  LEFT JOIN origin b ON f.country_of_birth = b.country_code
+  LEFT JOIN origin r ON f.country_of_residence = r.country_code
+  LEFT JOIN states s ON s.abbreviation = f.address_state_code
+  WHERE b.country_name = 'NATION_7'
+)
+"""
+
+
 ORACLE_SQL: dict[str, str] = {
     "fact_scan_project": """
 SELECT o_orderkey, o_custkey, o_orderstatus, o_totalprice, CAST(o_orderdate AS DATE) AS o_orderdate
@@ -329,5 +365,29 @@ SELECT n_nationkey AS country_code, n_name AS country_name FROM nation
     "states_build": """
 SELECT DISTINCT n_name AS state_name, 'N' || CAST(n_nationkey AS VARCHAR) AS abbreviation
 FROM nation
+""",
+    "analyst_lookup": _STAR + "SELECT * FROM lookup",
+    "analyst_lookup_top10": _STAR + "SELECT * FROM lookup ORDER BY immigration_id LIMIT 10",
+    "star_arrivals_vs_rate": _STAR + """
+SELECT a.year, a.month, a.abbreviation, s.state_name, a.arrivals, u.avg_rate
+FROM (
+  SELECT CAST(year(arrival_date) AS INTEGER) AS year, CAST(month(arrival_date) AS INTEGER) AS month,
+         address_state_code AS abbreviation, COUNT(*) AS arrivals
+  FROM f GROUP BY 1, 2, 3
+) a
+LEFT JOIN states s ON a.abbreviation = s.abbreviation
+LEFT JOIN unemployment u ON u.year = a.year AND u.month = a.month AND u.state = s.state_name
+""",
+    "star_load": _STAR + """
+SELECT 'fact_immigration' AS table_name, COUNT(*) AS rows,
+       COUNT(*) FILTER (WHERE immigration_id IS NULL) AS null_key_rows,
+       COUNT(*) - COUNT(DISTINCT immigration_id) AS duplicate_keys
+FROM f
+UNION ALL
+SELECT 'dimension_states', COUNT(*), CAST(0 AS BIGINT), CAST(0 AS BIGINT) FROM states
+UNION ALL
+SELECT 'dimension_origin', COUNT(*), CAST(0 AS BIGINT), CAST(0 AS BIGINT) FROM origin
+UNION ALL
+SELECT 'dimension_unemployment', COUNT(*), CAST(0 AS BIGINT), CAST(0 AS BIGINT) FROM unemployment
 """,
 }

@@ -26,7 +26,10 @@ from starmart.operators.quality import (
     null_key_count,
     write_parquet_observed,
 )
-from starmart.plans.marts import top_n
+from starmart.plans.marts import arrivals_lookup, top_n
+from starmart.plans.marts import arrivals_vs_rate as mart_arrivals_vs_rate
+from starmart.plans.publish import TableStore
+from starmart.plans.stages import build_star_files, load_star_files
 from starmart.plans.tables import (
     build_fact,
     build_origin,
@@ -34,7 +37,7 @@ from starmart.plans.tables import (
     build_unemployment,
     with_arrival_partition,
 )
-from starmart.schemas import FACT, TableSpec
+from starmart.schemas import FACT, REGISTRY
 from starmart.session import scratch_path
 from starmart.sources.derived import (
     raw_arrivals,
@@ -484,6 +487,90 @@ def states_build(spark: SparkSession, d: str) -> DataFrame:
     return build_states(spark, path)
 
 
+# --- the star built by the library's own builders ------------------------------
+
+MISSING_SEGMENT = "MACHINERY"  # its arrivals have no state entry (like GU or 99)
+
+
+def _capitalized(c):
+    return F.concat(F.upper(F.substring(c, 1, 1)), F.lower(F.substring(c, 2, 1 << 20)))
+
+
+def _star_labels(spark: SparkSession, d: str) -> str:
+    """Country code list derived from nation (code = nation key, label = name)."""
+    return write_label_file(
+        table(spark, d, "nation"),
+        block=F.lit("i94cntyl"),
+        code=F.col("n_nationkey"),
+        label=F.col("n_name"),
+        order=[F.col("n_nationkey")],
+        path=scratch_path(spark, "star-labels"),
+    )
+
+
+def _star_states(spark: SparkSession, d: str) -> str:
+    """States list derived from customer segments (one segment left out)."""
+    segments = table(spark, d, "customer").select(
+        _capitalized(F.col("c_mktsegment")).alias("State"), F.col("c_mktsegment").alias("Abbreviation")
+    ).where(F.col("Abbreviation") != MISSING_SEGMENT)
+    return write_csv(segments, scratch_path(spark, "star-states"))
+
+
+def _star_rates(spark: SparkSession, d: str) -> str:
+    """Rate sheet derived from orders and their customers' segments."""
+    orders, customer = table(spark, d, "orders"), table(spark, d, "customer")
+    sheet = orders.join(customer, orders.o_custkey == customer.c_custkey, "inner").select(
+        F.year("o_orderdate").cast("string").alias("Year"),
+        F.date_format("o_orderdate", "MMMM").alias("Month"),
+        _capitalized(F.col("c_mktsegment")).alias("State"),
+        F.col("o_orderpriority").alias("County"),
+        F.round(F.col("o_totalprice") / 10000, 1).cast("string").alias("Rate"),
+    )
+    return write_csv(sheet, scratch_path(spark, "star-rates"))
+
+
+def analyst_lookup(spark: SparkSession, d: str) -> DataFrame:
+    """The analyst example on the built star: origin in two roles, states, birth filter."""
+    fact = build_fact(raw_arrivals(spark, d))
+    origin = build_origin(spark, _star_labels(spark, d))
+    states = build_states(spark, _star_states(spark, d))
+    return arrivals_lookup(fact, origin, states, LOOKUP_NATION)
+
+
+def analyst_lookup_top10(spark: SparkSession, d: str) -> DataFrame:
+    return top_n(analyst_lookup(spark, d), 10, [F.col("immigration_id").asc()])
+
+
+def star_arrivals_vs_rate(spark: SparkSession, d: str) -> DataFrame:
+    """Arrivals per state and month beside that state's average rate, on the built star."""
+    fact = build_fact(raw_arrivals(spark, d))
+    states = build_states(spark, _star_states(spark, d))
+    return mart_arrivals_vs_rate(fact, states, build_unemployment(spark, _star_rates(spark, d)))
+
+
+def star_load(spark: SparkSession, d: str) -> DataFrame:
+    """Both stages on raw inputs derived from the tables, then the published tables' key profile."""
+    root = scratch_path(spark, "star-load")
+    raw_arrivals(spark, d).write.parquet(f"{root}/raw_fact")
+    run = build_star_files(
+        spark,
+        f"{root}/raw_fact",
+        _star_labels(spark, d),
+        _star_states(spark, d),
+        _star_rates(spark, d),
+        f"{root}/run1",
+    )
+    store = TableStore(spark, f"{root}/published")
+    load_star_files(spark, store, run.files)
+    out = None
+    for spec in REGISTRY.values():
+        prof = key_profile(store.current(spec), spec.keys).select(
+            F.lit(spec.name).alias("table_name"), "rows", "null_key_rows", "duplicate_keys"
+        )
+        out = prof if out is None else out.unionByName(prof)
+    return out
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "fact_scan_project": fact_scan_project,
     "epoch_day_to_date": epoch_day_to_date_q,
@@ -514,4 +601,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "origin_build": origin_build,
     "states_build": states_build,
     "load_all": load_all,
+    "analyst_lookup": analyst_lookup,
+    "analyst_lookup_top10": analyst_lookup_top10,
+    "star_arrivals_vs_rate": star_arrivals_vs_rate,
+    "star_load": star_load,
 }

@@ -11,7 +11,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from starmart.functions.casts import rename_columns
+from starmart.functions.casts import narrow, rename_columns
 from starmart.functions.dates import compact_date, epoch_day_to_date, month_name_to_number
 from starmart.operators.dedup import distinct_rows, grouped_average
 from starmart.schemas import (
@@ -38,8 +38,8 @@ def _conversions() -> dict[str, Column]:
         # The stay limit is parsed from its own text, month first.
         "dtaddto": compact_date("dtaddto", STAY_DATE_PATTERN),
     }
-    conv.update({c: F.col(c).try_cast("int") for c in INT_COLUMNS})
-    conv.update({c: F.col(c).try_cast("bigint") for c in BIGINT_COLUMNS})
+    conv.update({c: narrow(c, "int") for c in INT_COLUMNS})
+    conv.update({c: narrow(c, "bigint") for c in BIGINT_COLUMNS})
     return conv
 
 

@@ -63,7 +63,12 @@ SAS_EPOCH = "1960-01-01"
 # Text date patterns of the raw file.
 FILE_DATE_PATTERN = "yyyyMMdd"
 STAY_DATE_PATTERN = "MMddyyyy"
-MONTH_NAME_PATTERN = "MMMM"
+
+# English month names, January to December (what the MMMM pattern accepts).
+MONTH_NAMES = [
+    "january", "february", "march", "april", "may", "june",
+    "july", "august", "september", "october", "november", "december",
+]
 
 # Header renames of the states list.
 STATES_RENAMES = {"State": "state_name", "Abbreviation": "abbreviation"}
