@@ -72,6 +72,30 @@ def _not_null(keys: Sequence[str]):
     return cond
 
 
+def _probe_batch(
+    target: DataFrame, batch_keys: DataFrame, keys: list[str], max_rows: int
+) -> tuple[bool, DataFrame]:
+    """One small job over the batch keys: is the batch small, and which key
+    range can match?
+
+    For a single numeric key the target's key scan is limited to the batch's
+    [min, max]. The filter only prunes (rows outside cannot match); it reaches
+    the Parquet scan, where row-group min/max statistics skip whole files of
+    older ids.
+    """
+    target_keys = target.select(*keys)
+    numeric = len(keys) == 1 and dict(batch_keys.dtypes)[keys[0]] in (
+        "tinyint", "smallint", "int", "bigint", "float", "double", "date",
+    )
+    if not numeric:
+        return fits(batch_keys, max_rows), target_keys
+    k = keys[0]
+    n, lo, hi = batch_keys.agg(F.count(F.lit(1)), F.min(k), F.max(k)).first()
+    if n == 0:
+        return True, target_keys.where(F.lit(False))
+    return n <= max_rows, target_keys.where(F.col(k).between(F.lit(lo), F.lit(hi)))
+
+
 def insert_only(
     target: DataFrame,
     staging: DataFrame,
@@ -82,12 +106,12 @@ def insert_only(
     keys = list(keys)
     staged = staging.select(*target.columns).dropDuplicates()
     batch_keys = staging.select(*keys).where(_not_null(keys))
-    if fits(batch_keys, max_broadcast_rows):
+    small, target_keys = _probe_batch(target, batch_keys, keys, max_broadcast_rows)
+    if small:
         # Stream the target's key column once through a broadcast of the batch
         # keys; the matches are at most the batch's distinct keys.
         matched = (
-            target.select(*keys)
-            .join(F.broadcast(batch_keys), keys, "left_semi")
+            target_keys.join(F.broadcast(batch_keys), keys, "left_semi")
             .distinct()
         )
         new = staged.join(F.broadcast(matched), keys, "left_anti")

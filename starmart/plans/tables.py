@@ -95,16 +95,23 @@ def with_arrival_partition(fact: DataFrame) -> DataFrame:
 
 
 def cluster_by_arrival_month(fact: DataFrame) -> DataFrame:
-    """Range-partition fact rows on (arrival_year, arrival_month, immigration_id)
-    before a partitioned write.
+    """Range-partition fact rows on (arrival_year, arrival_month, immigration_id,
+    row hash) before a partitioned write.
 
     Each task then holds a contiguous slice of months and writes one or two
-    directories instead of one file per month it happens to see; a month
-    holding a third of all rows is cut into many tasks by its id range instead
-    of landing on one (as hashing on the month would do). The partition count
-    follows ``spark.sql.shuffle.partitions`` and AQE coalesces small ranges.
+    directories instead of one file per month it happens to see. A month
+    holding a third of all rows is cut into many tasks by its id range (hashing
+    on the month would put it on one), and the row hash splits even a single
+    id repeated that often. Files come out sorted by id, so min/max statistics
+    of the id column let later key scans skip them. The partition count follows
+    ``spark.sql.shuffle.partitions`` and AQE coalesces small ranges.
     """
-    return fact.repartitionByRange("arrival_year", "arrival_month", "immigration_id")
+    spread = F.xxhash64(*[F.col(c) for c in fact.columns]).alias("_spread")
+    return (
+        fact.withColumn("_spread", spread)
+        .repartitionByRange("arrival_year", "arrival_month", "immigration_id", "_spread")
+        .drop("_spread")
+    )
 
 
 def build_origin_from_codes(codes: DataFrame) -> DataFrame:

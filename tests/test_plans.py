@@ -69,3 +69,13 @@ def test_key_profile_aggregates_partially_before_the_shuffle(spark):
 def test_report_profiles_each_table_once(spark):
     text = plan(Q.dq_report(spark, SF_SMALL))
     assert text.count("Exchange hashpartitioning") == len(Q._REPORTED)
+
+
+def test_batch_key_range_reaches_the_target_scan(spark):
+    target = spark.read.parquet(f"{SF_SMALL}/orders.parquet")
+    batch = target.where("o_orderkey >= 1400")
+    text = insert_only(target, batch, ["o_orderkey"]).inserted._jdf.queryExecution().explainString(
+        spark._jvm.org.apache.spark.sql.execution.ExplainMode.fromString("formatted")
+    )
+    assert "GreaterThanOrEqual(o_orderkey,1400)" in text
+    assert "LessThanOrEqual(o_orderkey,1499)" in text
