@@ -6,8 +6,8 @@ regular expression, lines are exploded with their position, and the
 ``code = label`` shape is filtered and cleaned with built-in expressions.
 Work is parallel over files; a code-list file is a small, bounded document.
 
-Per block the rules are: tabs dropped; the line that names the block is
-skipped; apostrophes dropped (so a doubled one vanishes too); a line is kept
+Per block the rules are: tabs dropped; only the first block of a name in a
+file counts; the line that names the block is skipped; apostrophes dropped (so a doubled one vanishes too); a line is kept
 only when it splits on ``=`` into exactly two parts; both parts are stripped
 of surrounding whitespace. When a code repeats in a block the last line wins.
 """
@@ -37,10 +37,15 @@ def label_entries(spark: SparkSession, paths: str | list[str]) -> DataFrame:
         F.col("_metadata.file_path").alias("file"),
         F.regexp_replace("value", "\t", "").alias("text"),
     )
-    blocks = files.select(
-        "file",
-        F.posexplode(F.regexp_extract_all("text", F.lit(_BLOCK), 1)).alias("block_pos", "body"),
+    bodies = F.regexp_extract_all("text", F.lit(_BLOCK), 1)
+    names = F.transform(bodies, lambda b: F.regexp_extract(b, r"^(\w+)", 1))
+    # Within one file only the first block of a name counts (a later block of
+    # the same name is never reached by a reader that stops at the first).
+    firsts = F.filter(
+        bodies,
+        lambda b, i: ~F.array_contains(F.slice(names, 1, i), F.regexp_extract(b, r"^(\w+)", 1)),
     )
+    blocks = files.select("file", F.posexplode(firsts).alias("block_pos", "body"))
     lines = blocks.select(
         "file",
         F.regexp_extract("body", r"^(\w+)", 1).alias("block"),

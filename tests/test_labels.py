@@ -65,3 +65,9 @@ def test_many_files_parse_in_parallel(spark, workdir):
         write_text(workdir, f"part{i}.SAS", f"value blk{i}\r\n {i} = 'L{i}' ;\r\n")
     got = {(r.block, r.code, r.label) for r in label_blocks(spark, workdir).collect()}
     assert got == {("blk0", "0", "L0"), ("blk1", "1", "L1"), ("blk2", "2", "L2")}
+
+
+def test_first_block_of_a_name_wins_within_a_file(spark, workdir):
+    text = "value dup\r\n 1 = 'first'\r\n;\r\nvalue dup\r\n 1 = 'second'\r\n 2 = 'x' ;\r\n"
+    path = write_text(workdir, "dup.SAS", text)
+    assert _as_dict(code_list(spark, path, "dup")) == {"1": "first"}
