@@ -38,11 +38,24 @@ def narrow(c: Column | str, target: str) -> Column:
     return F.when((c > F.lit(lo)) & (c < F.lit(hi)), c.cast(target))
 
 
+_NUMERIC = ("tinyint", "smallint", "int", "bigint", "float", "double")
+# Text Spark's integral cast can accept: optional sign and digits, padded by
+# the characters its cast trims (code points up to space).
+_INTEGRAL_TEXT = r"^[\x00-\x20]*[+-]?[0-9]+[\x00-\x20]*$"
+
+
 def convert(df: DataFrame, name: str, target: str) -> Column:
-    """Best conversion of column ``name`` of ``df`` to ``target``."""
+    """Best conversion of column ``name`` of ``df`` to ``target`` (null when it cannot).
+
+    Numbers into integral types take the range test; text into integral types
+    is shape-checked first, so only digit strings reach the cast. Either way
+    bad rows cost no exception.
+    """
     source = dict(df.dtypes)[name]
-    if source in ("double", "float") and target in _RANGE:
+    if target in _RANGE and source in _NUMERIC:
         return narrow(name, target)
+    if target in _RANGE and source == "string":
+        return F.when(F.col(name).rlike(_INTEGRAL_TEXT), F.col(name).try_cast(target))
     return F.col(name).try_cast(target)
 
 

@@ -143,17 +143,16 @@ def cast_columns_q(spark: SparkSession, d: str) -> DataFrame:
         .alias("code_text"),
     )
     typed = cast_columns(
-        raw,
+        raw.withColumn("admission_as_int", F.col("admission")),
         {
             "key_fraction": "int",
             "negative_price": "int",
             "admission": "bigint",
             "code_text": "int",
+            "admission_as_int": "int",
         },
     )
-    return typed.withColumn(
-        "admission_as_int", F.col("admission").try_cast("int")
-    )
+    return typed
 
 
 def rename_columns_q(spark: SparkSession, d: str) -> DataFrame:

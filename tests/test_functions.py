@@ -85,3 +85,17 @@ def test_rename_identity_and_absent_names(spark):
 def test_strip_removes_tabs_and_carriage_returns(spark):
     df = spark.createDataFrame([("\t  ALBANIA  \r",), ("x",), (None,)], "s string")
     assert [r[0] for r in df.select(strip("s")).collect()] == ["ALBANIA", "x", None]
+
+
+def test_text_to_int_shape_check_matches_cast(spark):
+    values = ["12", " 7 ", "+3", "-4", "1.5", "n/a", "", None, "99999999999", "\t8\t"]
+    df = spark.createDataFrame([(v,) for v in values], "t string")
+    got = [r[0] for r in cast_columns(df, {"t": "int"}).collect()]
+    want = [r[0] for r in df.selectExpr("try_cast(t as int)").collect()]
+    assert got == want == [12, 7, 3, -4, None, None, None, None, None, 8]
+
+
+def test_integral_narrowing_matches_try_cast(spark):
+    df = spark.createDataFrame([(5000000000,), (-5,), (2147483647,), (None,)], "b bigint")
+    got = [r[0] for r in cast_columns(df, {"b": "int"}).collect()]
+    assert got == [None, -5, 2147483647, None]
