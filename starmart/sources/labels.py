@@ -46,11 +46,15 @@ def label_entries(spark: SparkSession, paths: str | list[str]) -> DataFrame:
         lambda b, i: ~F.array_contains(F.slice(names, 1, i), F.regexp_extract(b, r"^(\w+)", 1)),
     )
     blocks = files.select("file", F.posexplode(firsts).alias("block_pos", "body"))
-    lines = blocks.select(
+    # Name and line array first: the exploded rows must not carry the body.
+    split_blocks = blocks.select(
         "file",
         F.regexp_extract("body", r"^(\w+)", 1).alias("block"),
         "block_pos",
-        F.posexplode(F.split("body", "\n")).alias("line_pos", "line"),
+        F.split("body", "\n").alias("lines"),
+    )
+    lines = split_blocks.select(
+        "file", "block", "block_pos", F.posexplode("lines").alias("line_pos", "line")
     ).where(F.col("line_pos") > 0)
     parts = lines.select(
         "file",
