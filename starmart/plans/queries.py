@@ -35,6 +35,7 @@ from starmart.plans.tables import (
     build_origin,
     build_states,
     build_unemployment,
+    cluster_by_arrival_month,
     with_arrival_partition,
 )
 from starmart.schemas import FACT, REGISTRY
@@ -457,7 +458,7 @@ def fact_build(spark: SparkSession, d: str) -> DataFrame:
 
 def staging_load(spark: SparkSession, d: str) -> DataFrame:
     """Stage-1 fact files written partitioned, then loaded under the fact contract."""
-    fact = with_arrival_partition(build_fact(raw_arrivals(spark, d)))
+    fact = cluster_by_arrival_month(with_arrival_partition(build_fact(raw_arrivals(spark, d))))
     path = scratch_path(spark, "fact-files")
     fact.write.partitionBy(*FACT.partition_by).parquet(path)
     return load_staging(spark, path, FACT)

@@ -126,3 +126,14 @@ def test_stage2_untyped_month_violates_staging_contract(spark, workdir):
     with pytest.raises(Exception, match="NULL in key column month"):
         load_star_files(spark, store, files)
     assert store.published_versions(UNEMPLOYMENT) == []
+
+
+def test_command_line_runs_both_stages_and_checks(spark, workdir, capsys):
+    from starmart.__main__ import main
+
+    raw, labels, states, rates = _raw_inputs(spark, workdir, raw_fact_rows())
+    assert main(["build", "--raw-fact", raw, "--code-lists", labels, "--states", states,
+                 "--rates", rates, "--out", f"{workdir}/run1"]) == 0
+    assert main(["load", "--run", f"{workdir}/run1", "--published", f"{workdir}/pub"]) == 0
+    assert main(["check", "--published", f"{workdir}/pub"]) == 0
+    assert '"published": true' in capsys.readouterr().out
