@@ -126,7 +126,12 @@ def upsert(
     keys: Sequence[str],
     max_broadcast_rows: int = DEFAULT_MAX_BROADCAST_ROWS,
 ) -> Merge:
-    """Type-1 upsert: staging rows replace target rows with an equal key."""
+    """Type-1 upsert: staging rows replace target rows with an equal key.
+
+    Keys compare with ``=``: a null key matches nothing, so a staging row with
+    a null key is inserted on every run. Staging frames loaded through the
+    table contract (``load_staging``) cannot hold one.
+    """
     keys = list(keys)
     staged = staging.select(*target.columns).dropDuplicates()
     # Membership needs the batch keys only, not its de-duplicated rows.
