@@ -95,22 +95,18 @@ def with_arrival_partition(fact: DataFrame) -> DataFrame:
 
 
 def cluster_by_arrival_month(fact: DataFrame) -> DataFrame:
-    """Range-partition fact rows on (arrival_year, arrival_month, immigration_id,
-    row hash) before a partitioned write.
-
-    Each task then holds a contiguous slice of months and writes one or two
-    directories instead of one file per month it happens to see. A month
-    holding a third of all rows is cut into many tasks by its id range (hashing
-    on the month would put it on one), and the row hash splits even a single
-    id repeated that often. Files come out sorted by id, so min/max statistics
-    of the id column let later key scans skip them. The partition count follows
-    ``spark.sql.shuffle.partitions`` and AQE coalesces small ranges.
+    """Shuffle fact rows so each task writes few, full month directories.
+
+    ``rebalance`` on (arrival_year, arrival_month) is one hash shuffle after
+    which AQE splits oversized partitions and merges small ones to the
+    advisory size. A month holding a third of all rows (or one id repeated
+    that often) is therefore cut into many tasks, and small months share one.
+    Unlike range partitioning it needs no sampling pass, which would compute
+    the whole input a second time. The local sort by id makes every file's
+    row groups id-ordered, so min/max statistics let later key scans skip them.
     """
-    spread = F.xxhash64(*[F.col(c) for c in fact.columns]).alias("_spread")
-    return (
-        fact.withColumn("_spread", spread)
-        .repartitionByRange("arrival_year", "arrival_month", "immigration_id", "_spread")
-        .drop("_spread")
+    return fact.hint("rebalance", "arrival_year", "arrival_month").sortWithinPartitions(
+        "arrival_year", "arrival_month", "immigration_id"
     )
 
 

@@ -79,3 +79,38 @@ def test_batch_key_range_reaches_the_target_scan(spark):
     )
     assert "GreaterThanOrEqual(o_orderkey,1400)" in text
     assert "LessThanOrEqual(o_orderkey,1499)" in text
+
+
+def test_fact_clustering_is_one_rebalance_shuffle_with_a_local_sort(spark):
+    from starmart.plans.tables import build_fact, cluster_by_arrival_month, with_arrival_partition
+
+    df = cluster_by_arrival_month(with_arrival_partition(Q.fact_build(spark, SF_SMALL)))
+    text = plan(df)
+    assert "REBALANCE_PARTITIONS_BY_COL" in text
+    assert "rangepartitioning" not in text
+    assert "Sort [arrival_year" in text
+
+
+def test_hot_month_is_split_across_tasks(spark, workdir):
+    """A month holding a third of the rows (one id repeated) is written by several tasks."""
+    import glob
+
+    from pyspark.sql import functions as F
+
+    from starmart.plans.tables import cluster_by_arrival_month
+
+    spark.conf.set("spark.sql.adaptive.advisoryPartitionSizeInBytes", "64k")
+    try:
+        df = spark.range(300000).select(
+            F.when(F.col("id") % 3 == 0, F.lit(7)).otherwise(F.col("id")).alias("immigration_id"),
+            F.when(F.col("id") % 3 == 0, F.lit(2016)).otherwise(2000 + F.col("id") % 10).alias("arrival_year"),
+            F.when(F.col("id") % 3 == 0, F.lit(4)).otherwise(1 + F.col("id") % 12).alias("arrival_month"),
+            (F.col("id") * 7).alias("v"),
+        )
+        out = f"{workdir}/fact"
+        cluster_by_arrival_month(df).write.partitionBy("arrival_year", "arrival_month").parquet(out)
+        hot = glob.glob(f"{out}/arrival_year=2016/arrival_month=4/*.parquet")
+        assert len(hot) > 1
+        assert spark.read.parquet(out).count() == 300000
+    finally:
+        spark.conf.unset("spark.sql.adaptive.advisoryPartitionSizeInBytes")
