@@ -6,19 +6,21 @@ directories and never touching what readers use:
 * a dimension (type-1 upsert) is rewritten as ``<root>/<table>/version=<n>``;
 * the insert-only fact only appends ``<root>/<table>/batch=<n>``, partitioned
   inside by arrival year and month, so a run writes just its new rows;
-* ``<root>/_published/table=<t>/version=<n>`` holds a one-row marker written
-  after the checks of the run passed. Readers resolve the current version (or
-  the published batches) from the markers only, so a failed or half-written
-  run is invisible, and a rerun with the same version number replaces nothing
-  that was published.
+* ``<root>/_published/<id>/`` holds one marker file per publish, one row per
+  table of the run (table, version, rows), written after every check passed.
+  Readers resolve the current version (or the published batches) from the
+  markers only, so a failed or half-written run is invisible, and a rerun with
+  the same version number replaces nothing that was published.
 
 Every write is a normal Spark job with an output committer, so lost executors
-only cause task retries; the marker is the single step that makes data visible.
+only cause task retries. The marker is the single step that makes data
+visible, and as one file it makes all tables of a run visible at once.
 """
 
 from __future__ import annotations
 
 import datetime as _dt
+import uuid
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
@@ -36,7 +38,7 @@ from starmart.operators.quality import key_profile, write_parquet_observed
 from starmart.plans.tables import cluster_by_arrival_month, with_arrival_partition
 from starmart.schemas import TableSpec
 
-# Table and version become the marker's directory names.
+# One row per published table version.
 _MARKER_ROW_SCHEMA = StructType(
     [
         StructField("rows", LongType()),
@@ -103,10 +105,15 @@ class TableStore:
     def published_versions(self, spec: TableSpec) -> list[int]:
         """Published version numbers of a table (one marker row per run; the
         list is as long as the number of runs, never data-sized)."""
-        where = f"{self._markers_dir()}/table={spec.name}"
+        where = self._markers_dir()
         if not self._exists(where):
             return []
-        markers = self.spark.read.parquet(where)
+        markers = (
+            self.spark.read.schema(_MARKER_ROW_SCHEMA)
+            .option("recursiveFileLookup", "true")
+            .parquet(where)
+            .where(F.col("table") == spec.name)
+        )
         return sorted(int(r.version) for r in markers.select("version").distinct().collect())
 
     def next_version(self, spec: TableSpec) -> int:
@@ -178,11 +185,9 @@ class TableStore:
     def publish(self, *staged: StagedWrite) -> None:
         """Make checked versions visible by writing their markers.
 
-        All markers go out in one job, so the output committer makes the
-        tables of one run visible together.
+        All rows go into one file, so the tables of one run become visible
+        together or not at all.
         """
         rows = [(s.written_rows, _dt.datetime.now(), s.spec.name, s.version) for s in staged]
         markers = self.spark.createDataFrame(rows, _MARKER_ROW_SCHEMA)
-        markers.coalesce(1).write.mode("append").partitionBy("table", "version").parquet(
-            self._markers_dir()
-        )
+        markers.coalesce(1).write.parquet(f"{self._markers_dir()}/{uuid.uuid4().hex}")

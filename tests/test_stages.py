@@ -137,3 +137,15 @@ def test_command_line_runs_both_stages_and_checks(spark, workdir, capsys):
     assert main(["load", "--run", f"{workdir}/run1", "--published", f"{workdir}/pub"]) == 0
     assert main(["check", "--published", f"{workdir}/pub"]) == 0
     assert '"published": true' in capsys.readouterr().out
+
+
+def test_one_marker_file_publishes_all_tables_of_a_run(spark, workdir):
+    import glob
+
+    raw, labels, states, rates = _raw_inputs(spark, workdir, raw_fact_rows())
+    files = build_star_files(spark, raw, labels, states, rates, f"{workdir}/run1").files
+    store = TableStore(spark, f"{workdir}/published")
+    load_star_files(spark, store, files)
+    markers = glob.glob(f"{workdir}/published/_published/*/*.parquet")
+    assert len(markers) == 1
+    assert spark.read.parquet(markers[0]).count() == 4
