@@ -126,7 +126,10 @@ def build_origin(spark: SparkSession, label_paths: str | list[str]) -> DataFrame
 
 
 def build_states_from_raw(raw: DataFrame) -> DataFrame:
-    """Raw states list (State, Abbreviation) -> ``dimension_states``."""
+    """Raw states list (State, Abbreviation) -> ``dimension_states``.
+
+    Whole rows are de-duplicated before the projection, as in the surveyed job.
+    """
     return distinct_rows(rename_columns(raw, STATES_RENAMES)).select("state_name", "abbreviation")
 
 
@@ -135,13 +138,16 @@ def build_states(spark: SparkSession, csv_paths: str | list[str]) -> DataFrame:
 
 
 def type_rates(raw: DataFrame) -> DataFrame:
-    """Raw rate sheet -> typed rows (year int, month int, state, county, rate double)."""
+    """Raw rate sheet -> typed rows (year int, month int, state, county, rate double),
+    other sheet columns kept as they are."""
+    typed = {"Year", "Month", "State", "County", "Rate"}
     return raw.select(
         F.col("Year").try_cast("int").alias("year"),
         month_name_to_number("Month").alias("month"),
         F.col("State").alias("state"),
         F.col("County").alias("county"),
         F.col("Rate").try_cast("double").alias("rate"),
+        *[F.col(f"`{c}`") for c in raw.columns if c not in typed],
     )
 
 

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 
@@ -18,17 +19,22 @@ def read_parquet(spark: SparkSession, path: str | list[str], schema: StructType
 
 
 def read_csv(spark: SparkSession, path: str | list[str], schema: StructType) -> DataFrame:
-    """CSV with a header row, quotes honoured, every column read as declared.
-
-    The raw lists are declared as text and typed afterwards with ``try_cast``,
-    so a bad value becomes a counted null instead of failing the read.
-    Column names come from the schema; the header line of each file is skipped.
+    """CSV with a header row, quotes honoured, every value read as text.
+
+    Columns are matched to ``schema`` by header name, case-insensitively (a
+    file with reordered columns reads the same); a declared column missing
+    from the header raises. Declared columns come first under their declared
+    names, other header columns follow unchanged (they still take part in
+    whole-row de-duplication). Values stay text and are typed afterwards with
+    null-on-failure conversions.
     """
     paths = [path] if isinstance(path, str) else list(path)
-    return (
-        spark.read.schema(schema)
-        .option("header", True)
-        .option("mode", "PERMISSIVE")
-        .option("enforceSchema", True)
-        .csv(paths)
-    )
+    raw = spark.read.option("header", True).option("mode", "PERMISSIVE").csv(paths)
+    by_lower = {c.lower(): c for c in raw.columns}
+    missing = [f.name for f in schema.fields if f.name.lower() not in by_lower]
+    if missing:
+        raise ValueError(f"{paths}: header lacks {missing}")
+    declared = [F.col(f"`{by_lower[f.name.lower()]}`").alias(f.name) for f in schema.fields]
+    used = {f.name.lower() for f in schema.fields}
+    extra = [F.col(f"`{c}`") for c in raw.columns if c.lower() not in used]
+    return raw.select(*declared, *extra)

@@ -149,3 +149,18 @@ def test_one_marker_file_publishes_all_tables_of_a_run(spark, workdir):
     markers = glob.glob(f"{workdir}/published/_published/*/*.parquet")
     assert len(markers) == 1
     assert spark.read.parquet(markers[0]).count() == 4
+
+
+def test_csv_columns_are_matched_by_header_name(spark, workdir):
+    from starmart.plans.tables import build_states, build_unemployment
+
+    states = write_text(workdir, "s.csv", '"abbreviation","STATE"\n"NY","New York"\n"NY","New York"\n')
+    got = [tuple(r) for r in build_states(spark, states).collect()]
+    assert got == [("New York", "NY")]
+    rates = write_text(workdir, "r.csv", "Rate,County,State,Month,Year,Fips\n4.0,A,NY,April,2016,1\n4.0,A,NY,April,2016,2\n6.0,B,NY,April,2016,3\n")
+    out = build_unemployment(spark, rates).collect()
+    # rows differing only in an extra column both count, as whole-row dedup keeps them
+    assert [(r.year, r.month, r.state, round(r.avg_rate, 6)) for r in out] == [(2016, 4, "NY", round(14 / 3, 6))]
+    bad = write_text(workdir, "b.csv", "State,Abbrev\nX,Y\n")
+    with pytest.raises(ValueError, match="header lacks"):
+        build_states(spark, bad)
