@@ -116,7 +116,9 @@ def insert_only(
         )
         new = staged.join(F.broadcast(matched), keys, "left_anti")
     else:
-        new = staged.join(target.select(*keys).where(_not_null(keys)), keys, "left_anti")
+        # Large batch: sort-merge anti join; the target side is still only the
+        # key column, pruned to the batch's key range.
+        new = staged.join(target_keys.where(_not_null(keys)), keys, "left_anti")
     return Merge(kept=target, inserted=new, target=target)
 
 

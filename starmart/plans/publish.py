@@ -102,19 +102,27 @@ class TableStore:
         fs = hpath.getFileSystem(self.spark.sparkContext._jsc.hadoopConfiguration())
         return bool(fs.exists(hpath))
 
-    def published_versions(self, spec: TableSpec) -> list[int]:
-        """Published version numbers of a table (one marker row per run; the
-        list is as long as the number of runs, never data-sized)."""
+    def all_published_versions(self) -> dict[str, list[int]]:
+        """Published version numbers per table, from one read of the markers
+        (one row per table and run: as long as the run history, never data-sized)."""
         where = self._markers_dir()
         if not self._exists(where):
-            return []
+            return {}
         markers = (
             self.spark.read.schema(_MARKER_ROW_SCHEMA)
             .option("recursiveFileLookup", "true")
             .parquet(where)
-            .where(F.col("table") == spec.name)
+            .select("table", "version")
+            .distinct()
         )
-        return sorted(int(r.version) for r in markers.select("version").distinct().collect())
+        out: dict[str, list[int]] = {}
+        for r in markers.collect():
+            out.setdefault(r.table, []).append(int(r.version))
+        return {t: sorted(v) for t, v in out.items()}
+
+    def published_versions(self, spec: TableSpec) -> list[int]:
+        """Published version numbers of one table."""
+        return self.all_published_versions().get(spec.name, [])
 
     def next_version(self, spec: TableSpec) -> int:
         versions = self.published_versions(spec)

@@ -129,10 +129,11 @@ def load_star_files(
     publish them are written only when every table passed.
     """
     staged: dict[str, StagedWrite] = {}
+    published = store.all_published_versions()
     for name in REGISTRY:  # fact, states, origin, unemployment
         spec = REGISTRY[name]
         staging = load_staging(spark, files.path(name), spec)
-        versions = store.published_versions(spec)
+        versions = published.get(name, [])
         new = merge_table(store, name, staging, versions)
         next_version = (versions[-1] + 1) if versions else 1
         staged[name] = store.stage(spec, new, next_version, published=versions)

@@ -114,3 +114,13 @@ def test_hot_month_is_split_across_tasks(spark, workdir):
         assert spark.read.parquet(out).count() == 300000
     finally:
         spark.conf.unset("spark.sql.adaptive.advisoryPartitionSizeInBytes")
+
+
+def test_large_batch_also_prunes_the_target_key_range(spark):
+    target = spark.read.parquet(f"{SF_SMALL}/orders.parquet")
+    batch = target.where("o_orderkey >= 1400")
+    df = insert_only(target, batch, ["o_orderkey"], max_broadcast_rows=0).inserted
+    text = df._jdf.queryExecution().explainString(
+        spark._jvm.org.apache.spark.sql.execution.ExplainMode.fromString("formatted")
+    )
+    assert "LessThanOrEqual(o_orderkey,1499)" in text
