@@ -562,9 +562,11 @@ def star_load(spark: SparkSession, d: str) -> DataFrame:
     )
     store = TableStore(spark, f"{root}/published")
     load_star_files(spark, store, run.files)
+    published = store.all_published_versions()
     out = None
     for spec in REGISTRY.values():
-        prof = key_profile(store.current(spec), spec.keys).select(
+        current = store.current(spec, versions=published.get(spec.name, []))
+        prof = key_profile(current, spec.keys).select(
             F.lit(spec.name).alias("table_name"), "rows", "null_key_rows", "duplicate_keys"
         )
         out = prof if out is None else out.unionByName(prof)

@@ -19,17 +19,19 @@ def shared_dir(spark: SparkSession) -> str:
     On a cluster this is a distributed path every executor can reach. When the
     setting is absent (local tests) a private folder is created and registered.
     """
-    sc = spark.sparkContext
-    base = sc.getConf().get("spark.checkpoint.dir", None) or spark.conf.get(
-        "spark.checkpoint.dir", None
-    )
+    try:
+        sc = spark.sparkContext
+    except Exception:  # noqa: BLE001 - a remote session has no SparkContext
+        sc = None
+    base = spark.conf.get("spark.checkpoint.dir", None)
+    if sc is not None:
+        base = sc.getConf().get("spark.checkpoint.dir", None) or base
+        if not base and sc.getCheckpointDir():
+            return sc.getCheckpointDir().rstrip("/")
     if not base:
-        current = sc.getCheckpointDir()
-        if current:
-            return current.rstrip("/")
         base = tempfile.mkdtemp(prefix="starmart-ckpt-")
         spark.conf.set("spark.checkpoint.dir", base)
-    if sc.getCheckpointDir() is None:
+    if sc is not None and sc.getCheckpointDir() is None:
         sc.setCheckpointDir(base)
     return base.rstrip("/")
 
