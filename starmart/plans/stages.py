@@ -27,9 +27,10 @@ from starmart.plans.tables import (
     build_unemployment,
     cluster_by_arrival_month,
     fact_reject_metrics,
+    require_raw_columns,
     with_arrival_partition,
 )
-from starmart.schemas import FACT, ORIGIN, RAW_FACT_SCHEMA, REGISTRY, STATES, UNEMPLOYMENT
+from starmart.schemas import FACT, ORIGIN, REGISTRY, STATES, UNEMPLOYMENT
 from starmart.sources.readers import read_parquet
 from starmart.sources.staging import load_staging
 
@@ -72,7 +73,9 @@ def build_star_files(
     files = StarFiles(out_root)
     result = BuildResult(files)
 
-    raw = read_parquet(spark, raw_fact, RAW_FACT_SCHEMA)
+    # The files' own schema is read (numbers may be stored as double or int);
+    # only the 18 used columns are scanned.
+    raw = require_raw_columns(read_parquet(spark, raw_fact))
     fact = cluster_by_arrival_month(with_arrival_partition(build_fact_with_rejects(raw)))
     metrics = write_parquet_observed(
         fact,

@@ -38,8 +38,10 @@ def _conversions() -> dict[str, Column]:
         # The stay limit is parsed from its own text, month first.
         "dtaddto": compact_date("dtaddto", STAY_DATE_PATTERN),
     }
-    conv.update({c: narrow(c, "int") for c in INT_COLUMNS})
-    conv.update({c: narrow(c, "bigint") for c in BIGINT_COLUMNS})
+    # Raw numbers may arrive as double, int or text: all go through double
+    # (a no-op cast Catalyst removes when the file already holds doubles).
+    conv.update({c: narrow(F.col(c).try_cast("double"), "int") for c in INT_COLUMNS})
+    conv.update({c: narrow(F.col(c).try_cast("double"), "bigint") for c in BIGINT_COLUMNS})
     return conv
 
 
@@ -49,6 +51,15 @@ def fact_columns() -> list[Column]:
     return [conv.get(c, F.col(c)).alias(FACT_RENAMES[c]) for c in RAW_FACT_COLUMNS]
 
 
+def require_raw_columns(raw: DataFrame) -> DataFrame:
+    """Fail early, naming them, when raw fact columns are missing."""
+    have = {c.lower() for c in raw.columns}
+    missing = [c for c in RAW_FACT_COLUMNS if c.lower() not in have]
+    if missing:
+        raise ValueError(f"raw fact files lack columns {missing}")
+    return raw
+
+
 def build_fact(raw: DataFrame) -> DataFrame:
     """Raw arrival rows -> ``fact_immigration`` (18 typed, renamed columns)."""
     return raw.select(*fact_columns())

@@ -164,3 +164,26 @@ def test_csv_columns_are_matched_by_header_name(spark, workdir):
     bad = write_text(workdir, "b.csv", "State,Abbrev\nX,Y\n")
     with pytest.raises(ValueError, match="header lacks"):
         build_states(spark, bad)
+
+
+def test_raw_fact_with_integer_and_text_columns(spark, workdir):
+    """Raw numbers stored as int or text convert like doubles; bad text becomes null."""
+    from pyspark.sql import functions as F
+
+    base = spark.createDataFrame(raw_fact_rows(), RAW_FACT_SCHEMA)
+    odd = base.withColumn("i94cit", F.col("i94cit").cast("int")).withColumn(
+        "i94bir", F.when(F.col("cicid") == 1, F.lit("n/a")).otherwise(F.col("i94bir").cast("string"))
+    )
+    odd.write.parquet(f"{workdir}/raw_odd")
+    labels = write_text(workdir, "labels.SAS", LABEL_TEXT)
+    states = write_text(workdir, "states.csv", STATES_CSV)
+    rates = write_text(workdir, "rates.csv", RATES_CSV_CLEAN)
+    res = build_star_files(spark, f"{workdir}/raw_odd", labels, states, rates, f"{workdir}/run")
+    fact = {r.immigration_id: r for r in spark.read.parquet(res.files.path(FACT.name)).collect()}
+    assert fact[1].country_of_birth == 101 and fact[1].respondent_age is None
+    assert fact[2].respondent_age == 41
+    assert res.rejects["rejected_i94bir"] == 1
+    missing = base.drop("fltno")
+    missing.write.parquet(f"{workdir}/raw_missing")
+    with pytest.raises(ValueError, match="fltno"):
+        build_star_files(spark, f"{workdir}/raw_missing", labels, states, rates, f"{workdir}/run2")
