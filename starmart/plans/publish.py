@@ -21,7 +21,7 @@ from __future__ import annotations
 
 import datetime as _dt
 import uuid
-from dataclasses import dataclass
+from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -34,7 +34,12 @@ from pyspark.sql.types import (
     TimestampType,
 )
 
-from starmart.operators.quality import key_profile, write_parquet_observed
+from starmart.operators.quality import (
+    duplicate_offenders,
+    key_profile,
+    null_key_sample,
+    write_parquet_observed,
+)
 from starmart.plans.tables import cluster_by_arrival_month, with_arrival_partition
 from starmart.schemas import TableSpec
 
@@ -60,6 +65,7 @@ class StagedWrite:
     read_rows: int
     null_key_rows: int
     duplicate_keys: int
+    samples: list[str] = field(default_factory=list)
 
     @property
     def problems(self) -> list[str]:
@@ -70,7 +76,7 @@ class StagedWrite:
             out.append(f"{self.null_key_rows} rows with a null key")
         if self.duplicate_keys:
             out.append(f"{self.duplicate_keys} duplicated keys")
-        return out
+        return out + self.samples
 
 
 class TableStore:
@@ -180,6 +186,14 @@ class TableStore:
         metrics = write_parquet_observed(out, path, partition_by=partition_by, mode="overwrite")
         written = self.spark.read.schema(self.stored_schema(spec)).parquet(path)
         profile = key_profile(written, spec.keys).first()
+        samples = []
+        if profile["null_key_rows"]:
+            # One offending row for the message (a limit-1 probe).
+            row = null_key_sample(written.select(*spec.schema.fieldNames()), spec.keys)
+            samples.append(f"null-key row: {row[0].asDict() if row else None}")
+        if profile["duplicate_keys"]:
+            some = duplicate_offenders(written, spec.keys).limit(3).collect()
+            samples.append(f"duplicated keys: {[r.asDict() for r in some]}")
         return StagedWrite(
             spec=spec,
             version=version,
@@ -188,6 +202,7 @@ class TableStore:
             read_rows=int(profile["rows"]),
             null_key_rows=int(profile["null_key_rows"]),
             duplicate_keys=int(profile["duplicate_keys"]),
+            samples=samples,
         )
 
     def publish(self, *staged: StagedWrite) -> None:

@@ -93,7 +93,7 @@ def test_stage2_duplicate_key_publishes_nothing(spark, workdir):
     raw, labels, states, rates = _raw_inputs(spark, workdir, rows)
     files = build_star_files(spark, raw, labels, states, rates, f"{workdir}/run1").files
     store = TableStore(spark, f"{workdir}/published")
-    with pytest.raises(CheckFailed, match="duplicated keys"):
+    with pytest.raises(CheckFailed, match=r"duplicated keys: \[\{'immigration_id': 5, 'n': 2\}\]"):
         load_star_files(spark, store, files)
     assert store.published_versions(FACT) == []
     assert store.current(FACT).count() == 0
