@@ -1,33 +1,72 @@
 """Joins with a checked broadcast.
 
-A side is broadcast only after a bounded probe proves it small:
-``limit(n + 1).count()`` stops reading once the bound is passed, so the probe
-costs at most ``n + 1`` rows however large the side is. Beyond the bound the
-join is left to the planner (sort-merge with AQE skew splitting), which is the
-path that scales with both sides.
+A side is broadcast only after a probe proves it small in rows and in bytes.
+The probe is one distributed aggregate: every task scans its split, keeps a
+partial (rows, bytes) and sends one row, so no task or driver ever holds the
+side itself. (A ``limit(n + 1).count()`` probe would instead shuffle every
+row of a side whose partitions each hold fewer than ``n`` rows into one task.)
+Beyond either bound the join is left to the planner (sort-merge with AQE skew
+splitting), which is the path that scales with both sides.
 """
 
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import ArrayType, BinaryType, DecimalType, MapType, StringType, StructType
 
 # Rows of a key-only or dimension side that may be shipped to every task.
-# 4M keys of a few columns stay well under Spark's 8 GB broadcast limit and
-# under a default executor's memory; larger sides take the shuffle path.
 DEFAULT_MAX_BROADCAST_ROWS = 4_000_000
+# Bytes of such a side as rows in memory (see ``row_bytes``). 512 MB stays far
+# below Spark's 8 GB broadcast limit and leaves room in a default executor.
+DEFAULT_MAX_BROADCAST_BYTES = 512 * 1024 * 1024
+
+
+def row_bytes(df: DataFrame) -> Column:
+    """In-memory size of one row: 8 bytes per field, plus the bytes of its
+    strings and binaries, 16 per wide decimal, and nested values at the
+    length of their JSON text."""
+    parts: list[Column] = [F.lit(8 * (len(df.schema.fields) + 1)).cast("bigint")]
+    for f in df.schema.fields:
+        c, t = F.col(f"`{f.name}`"), f.dataType
+        if isinstance(t, (StringType, BinaryType)):
+            parts.append(F.coalesce(F.octet_length(c), F.lit(0)).cast("bigint"))
+        elif isinstance(t, DecimalType) and t.precision > 18:
+            parts.append(F.lit(16).cast("bigint"))
+        elif isinstance(t, (ArrayType, MapType, StructType)):
+            parts.append(F.coalesce(F.octet_length(F.to_json(c)), F.lit(0)).cast("bigint"))
+    return reduce(lambda x, y: x + y, parts)
+
+
+def size_of(df: DataFrame) -> tuple[int, int]:
+    """(rows, bytes) of ``df`` from one distributed aggregate."""
+    rows, size = df.agg(
+        F.count(F.lit(1)).alias("rows"),
+        F.coalesce(F.sum(row_bytes(df)), F.lit(0)).alias("bytes"),
+    ).first()
+    return int(rows), int(size)
+
+
+def fits(
+    df: DataFrame,
+    max_rows: int = DEFAULT_MAX_BROADCAST_ROWS,
+    max_bytes: int = DEFAULT_MAX_BROADCAST_BYTES,
+) -> bool:
+    """True when ``df`` has at most ``max_rows`` rows and ``max_bytes`` bytes."""
+    rows, size = size_of(df)
+    return rows <= max_rows and size <= max_bytes
 
 
-def fits(df: DataFrame, max_rows: int = DEFAULT_MAX_BROADCAST_ROWS) -> bool:
-    """True when ``df`` has at most ``max_rows`` rows (bounded probe)."""
-    return df.limit(max_rows + 1).count() <= max_rows
-
-
-def maybe_broadcast(df: DataFrame, max_rows: int = DEFAULT_MAX_BROADCAST_ROWS) -> DataFrame:
+def maybe_broadcast(
+    df: DataFrame,
+    max_rows: int = DEFAULT_MAX_BROADCAST_ROWS,
+    max_bytes: int = DEFAULT_MAX_BROADCAST_BYTES,
+) -> DataFrame:
     """``broadcast(df)`` when it is proven small, else ``df`` unchanged."""
-    return F.broadcast(df) if fits(df, max_rows) else df
+    return F.broadcast(df) if fits(df, max_rows, max_bytes) else df
 
 
 def lookup_join(

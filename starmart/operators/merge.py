@@ -8,7 +8,7 @@
 Staging is de-duplicated on whole rows (two different rows with one key are
 both kept, and the key checks flag them before anything is published).
 
-Plans. When the staging keys are proven small (bounded probe) the big target
+Plans. When the staging keys are proven small (rows and bytes) the big target
 is never shuffled: for the upsert the staging keys are broadcast into an anti
 join that streams the target; for the insert the target's key column is
 streamed through a broadcast semi join to find the few matched keys, which are

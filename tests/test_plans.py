@@ -124,3 +124,29 @@ def test_large_batch_also_prunes_the_target_key_range(spark):
         spark._jvm.org.apache.spark.sql.execution.ExplainMode.fromString("formatted")
     )
     assert "LessThanOrEqual(o_orderkey,1499)" in text
+
+
+def test_broadcast_needs_both_bounds(spark):
+    from pyspark.sql import functions as F
+
+    from starmart.operators.joins import lookup_join, maybe_broadcast, size_of
+
+    nation = spark.read.parquet(f"{SF_SMALL}/nation.parquet")
+    rows, size = size_of(nation)
+    # 25 rows of (int, string, int): 8 bytes per field and header plus the text bytes.
+    text_bytes = nation.agg(F.sum(F.octet_length("n_name"))).first()[0]
+    assert (rows, size) == (25, 25 * 32 + text_bytes)
+
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        assert "BroadcastExchange" in plan(
+            lookup_join(spark.read.parquet(f"{SF_SMALL}/customer.parquet"), nation.withColumnRenamed("n_nationkey", "c_nationkey"), "c_nationkey")
+        )
+        # Few rows but over the byte bound: left to the planner.
+        wide = maybe_broadcast(nation, max_rows=100, max_bytes=size - 1)
+        joined = spark.read.parquet(f"{SF_SMALL}/customer.parquet").join(
+            wide.withColumnRenamed("n_nationkey", "c_nationkey"), "c_nationkey", "left"
+        )
+        assert "BroadcastExchange" not in plan(joined)
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
