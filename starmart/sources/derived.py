@@ -12,15 +12,22 @@ Spark, so every query's work grows with the tables it reads:
 
 from __future__ import annotations
 
+import sys
 from collections.abc import Iterator, Sequence
 
 import numpy as np
 import pandas as pd
+from pyspark import cloudpickle
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from starmart.schemas import SAS_EPOCH
 
+# The framing function below runs in Python workers. Ship it by value, so a
+# worker needs only numpy and pandas, not this package on its path (a session
+# started outside the repository, or a cluster without --py-files).
+cloudpickle.register_pickle_by_value(sys.modules[__name__])
+
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
