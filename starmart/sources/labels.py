@@ -90,11 +90,15 @@ def label_blocks(spark: SparkSession, paths: str | list[str]) -> DataFrame:
 
 
 def has_block(spark: SparkSession, paths: str | list[str], block: str) -> bool:
-    """Whether any file holds a block of this name (a bounded one-row probe)."""
+    """Whether any file holds a block of this name.
+
+    ``take(1)`` scans file splits a few at a time and stops at the first
+    match, so a block found early leaves the other files unread.
+    """
     paths = [paths] if isinstance(paths, str) else list(paths)
     pattern = r"(?m)^[ \t]*value[ \t]+\$?" + re.escape(block.lstrip("$")) + r"\b"
     found = spark.read.text(paths, wholetext=True).where(F.col("value").rlike(pattern))
-    return found.limit(1).count() > 0
+    return len(found.select(F.lit(1)).take(1)) > 0
 
 
 def code_list(spark: SparkSession, paths: str | list[str], block: str) -> DataFrame:
