@@ -91,10 +91,18 @@ def anti_join(
     Null keys on the right are dropped first: they can never match, and
     dropping them keeps a single null from changing the answer (unlike
     ``NOT IN``). A left row with a null key has no match and is kept.
+
+    A right side proven small is broadcast as it is. A larger one is
+    de-duplicated before the sort-merge join: the partial aggregate collapses
+    a hot key in every map task, so no reducer receives its repeats, and the
+    aggregate's hash partitioning on ``keys`` is the one the join needs (no
+    extra exchange).
     """
     keys = list(keys)
     right = right_keys.select(*keys).where(_all_not_null(keys))
-    return left.join(maybe_broadcast(right, max_rows), keys, "left_anti")
+    if fits(right, max_rows):
+        return left.join(F.broadcast(right), keys, "left_anti")
+    return left.join(right.distinct(), keys, "left_anti")
 
 
 def _all_not_null(keys: Sequence[str]):

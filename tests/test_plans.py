@@ -150,3 +150,23 @@ def test_broadcast_needs_both_bounds(spark):
         assert "BroadcastExchange" not in plan(joined)
     finally:
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+
+
+def test_large_upsert_collapses_a_hot_staging_key_before_the_shuffle(spark):
+    from pyspark.sql import functions as F
+
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        target = spark.read.parquet(f"{SF_SMALL}/customer.parquet")
+        hot = target.withColumn("c_custkey", F.lit(1).cast("bigint"))  # every row repeats key 1
+        staging = target.unionByName(hot)
+        m = upsert(target, staging, ["c_custkey"], max_broadcast_rows=10)
+        text = plan(m.kept)
+        right = text.split("LeftAnti")[1]
+        # partial aggregate, one exchange, final aggregate on the staging keys
+        assert right.count("HashAggregate(keys=[c_custkey") == 2
+        assert right.count("Exchange hashpartitioning(c_custkey") == 2  # one per join side
+        assert m.kept.count() == 0
+        assert m.result.count() == staging.distinct().count()
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
