@@ -170,3 +170,16 @@ def test_large_upsert_collapses_a_hot_staging_key_before_the_shuffle(spark):
         assert m.result.count() == staging.distinct().count()
     finally:
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+
+
+def test_size_counts_wide_decimals_and_nested_values(spark):
+    from starmart.operators.joins import size_of
+
+    df = spark.createDataFrame(
+        [(1, ["ab", "c"], {"k": 1}, 1.5)],
+        "id int, tags array<string>, attrs map<string,int>, amount double",
+    ).selectExpr("id", "tags", "attrs", "cast(amount as decimal(38,6)) as amount")
+    rows, size = size_of(df)
+    # 8 per field and header, the JSON text of the array and the map, 16 for the wide decimal
+    assert (rows, size) == (1, 8 * 5 + len('["ab","c"]') + len('{"k":1}') + 16)
+    assert size_of(df.limit(0)) == (0, 0)
