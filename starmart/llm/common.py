@@ -55,8 +55,9 @@ def bitmap(df: DataFrame, key: Column, log_bits: int) -> np.ndarray:
     get right results when every bit is set.
     """
     bit = key.bitwiseAND(F.lit((1 << log_bits) - 1))
+    one = F.call_function("shiftleft", F.lit(1).cast("long"), bit.bitwiseAND(F.lit(63)).cast("int"))
     words = (
-        df.select(F.shiftright(bit, 6).alias("w"), F.shiftleft(F.lit(1).cast("long"), bit.bitwiseAND(F.lit(63)).cast("int")).alias("b"))
+        df.select(F.shiftright(bit, 6).alias("w"), one.alias("b"))
         .groupBy("w")
         .agg(F.bit_or("b").alias("b"))
         .toArrow()

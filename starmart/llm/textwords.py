@@ -98,7 +98,7 @@ def window_hashes(words: np.ndarray, n: int, seed: int = 0) -> np.ndarray:
     for k in range(n):
         total *= factor
         total += words[k : k + size]
-    return mix64(total + np.uint64(n + 1000 * seed) * MULTIPLIER)
+    return mix64(total + np.uint64((n + 1000 * seed) * int(MULTIPLIER) % (1 << 64)))
 
 
 def row_bounds(row: np.ndarray, n_rows: int) -> np.ndarray:
