@@ -108,7 +108,8 @@ def block_links(sizes: np.ndarray, flat: np.ndarray, left: np.ndarray, right: np
 
 
 def jaccard_components(docs: DataFrame, n: int = 5, num: int = 4, den: int = 5, log_bits: int = LOG_BITS) -> DataFrame:
-    """doc_id, n_shingles, component_id of every row of ``docs`` (doc_id, text).
+    """doc_id, n_shingles, component_id, body of every row of ``docs`` (doc_id, text);
+    body is ``xxhash64(text)``.
 
     Texts are lower-cased (A-Z); a document's set holds its distinct ``n``-word
     shingles, or its whole word sequence if that is shorter. Documents link when
@@ -121,13 +122,13 @@ def jaccard_components(docs: DataFrame, n: int = 5, num: int = 4, den: int = 5,
     component. Other columns are ignored. An empty table gives an empty result.
     """
     spark = docs.sparkSession
-    texts = docs.select(F.coalesce(F.col("doc_id").cast("long"), F.lit(LAST)).alias("at"), "text")
+    texts = docs.select(F.coalesce(F.col("doc_id").cast("long"), F.lit(LAST)).alias("at"), F.xxhash64("text").alias("body"), "text")
 
     def rows_of(batch):
         for rows, data, offsets in chunks(batch, "text"):
             sets = gram_sets(data, offsets, n)
             nodes = np.array([node_of(s) for s in sets], np.int64)
-            yield rows.column("at").to_numpy(), sets, nodes, tags_of(nodes, rows.column("at").to_numpy())
+            yield rows, sets, nodes, tags_of(nodes, rows.column("at").to_numpy())
 
     def lists(parts) -> pa.Array:
         cuts = np.concatenate([[0], np.cumsum([len(p) for p in parts])]).astype(np.int32)
@@ -136,12 +137,12 @@ def jaccard_components(docs: DataFrame, n: int = 5, num: int = 4, den: int = 5,
 
     def describe(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for at, sets, nodes, tags in rows_of(batch):
+            for rows, sets, nodes, tags in rows_of(batch):
                 parts = [s[: prefix_size(len(s), num, den)] for s in sets]
-                columns = [pa.array(at), pa.array([len(s) for s in sets], pa.int64()), pa.array(nodes), pa.array(tags.view(np.int64)), lists(parts)]
-                yield pa.RecordBatch.from_arrays(columns, names=["at", "size", "node", "tag", "grams"])
+                columns = [rows.column("at"), rows.column("body"), pa.array([len(s) for s in sets], pa.int64()), pa.array(nodes), pa.array(tags.view(np.int64)), lists(parts)]
+                yield pa.RecordBatch.from_arrays(columns, names=["at", "body", "size", "node", "tag", "grams"])
 
-    sets = saved(texts.mapInArrow(describe, "at long, size long, node long, tag long, grams array<long>"), "gram-sets")
+    sets = saved(texts.mapInArrow(describe, "at long, body long, size long, node long, tag long, grams array<long>"), "gram-sets")
     common = sets.select(F.explode("grams").alias("g")).groupBy("g").agg(F.count(F.lit(1)).alias("c")).where(F.col("c") > COMMON)
     common = spark.sparkContext.broadcast(bitmap(common, F.col("g"), log_bits))
     firsts = saved(sets.where("size > 0").groupBy("node").agg(F.min(F.struct("at", "tag")).alias("one"), F.first("size").alias("size")), "gram-nodes")
@@ -231,9 +232,9 @@ def jaccard_components(docs: DataFrame, n: int = 5, num: int = 4, den: int = 5,
 
     links = saved(dealt.groupBy("cluster", "x", "y").applyInArrow(multiply, "u long, v long"), "gram-links")
     roots = connected(links)
-    named = sets.select("at", "size", "node").join(roots, "node", "left").withColumn("component", F.coalesce("root", "node"))
+    named = sets.select("at", "body", "size", "node").join(roots, "node", "left").withColumn("component", F.coalesce("root", "node"))
     least = named.where("size > 0").groupBy("component").agg(F.min("at").alias("least"))
     out = named.join(least, "component", "left").withColumn("first", F.when(F.col("size") > 0, F.col("least")).otherwise(F.col("at")))
     return out.select(
-        F.when(F.col("at") != LAST, F.col("at")).alias("doc_id"), F.col("size").alias("n_shingles"), F.when(F.col("first") != LAST, F.col("first")).alias("component_id")
+        F.when(F.col("at") != LAST, F.col("at")).alias("doc_id"), F.col("size").alias("n_shingles"), F.when(F.col("first") != LAST, F.col("first")).alias("component_id"), "body"
     )

@@ -3,14 +3,23 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from .common import table
+from .decontaminate import find_leaks
 from .jaccard import jaccard_components
 from .passages import remove_repeats
 
 
 def op6_ngram_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return jaccard_components(table(spark, sf_dir, "documents").select("doc_id", "text"), n=4, num=85, den=100)
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return jaccard_components(docs, n=4, num=85, den=100).drop("body")
+
+
+def op7_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    found = find_leaks(docs, table(spark, sf_dir, "benchmark"))
+    return found.select("doc_id", F.explode("leaks").alias("leak")).select("doc_id", "leak.*")
 
 
 def op8_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -29,5 +38,5 @@ SELECT doc_id, len(w)::BIGINT AS n_words, (len(w) - coalesce(n, 0))::BIGINT AS n
 FROM docs LEFT JOIN kept USING (doc_id)
 """
 
-QUERIES = {"op6_ngram_jaccard": op6_ngram_jaccard, "op8_substring_dedup": op8_substring_dedup}
+QUERIES = {"op6_ngram_jaccard": op6_ngram_jaccard, "op7_decontamination": op7_decontamination, "op8_substring_dedup": op8_substring_dedup}
 ORACLE_SQL = {"op8_substring_dedup": OP8_SQL}

@@ -44,11 +44,21 @@ def chunks(batch: pa.RecordBatch, column: str, limit: int = CHUNK_BYTES) -> Iter
         at = to
 
 
-def word_spans(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """(row, start, end) of every word of the chunk, in order."""
+def word_bytes(letters_only: bool = False) -> np.ndarray:
+    """Which bytes belong to words: all but blank and tab to carriage return, or
+    only ASCII letters, digits and the bytes of other characters."""
     table = np.ones(256, bool)
     table[[32, 9, 10, 11, 12, 13]] = False
-    word = table[data]
+    if letters_only:
+        table[:128] = False
+        for first, last in ((48, 58), (65, 91), (97, 123)):
+            table[first:last] = True
+    return table
+
+
+def word_spans(data: np.ndarray, offsets: np.ndarray, letters_only: bool = False) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(row, start, end) of every word of the chunk, in order."""
+    word = word_bytes(letters_only)[data]
     if not len(word):
         return (np.zeros(0, np.int64),) * 3
     first, last = word.copy(), word.copy()
