@@ -39,8 +39,9 @@ MOST_GRAM = 4
 SAMPLED = 3
 AGREEMENT = 0.5
 RECALL = 0.99
-#: Benchmark text sent to the tasks at once.
+#: Benchmark text sent to the tasks at once, and document text searched at once.
 BLOCK_BYTES = 4 << 20
+CHUNK_BYTES = 8 << 20
 LEAKS = "array<struct<item_id:long,distance:int,item_words:int,first_word:int>>"
 
 
@@ -58,19 +59,19 @@ def cgk_keys(windows: np.ndarray, tables: int, sampled: int = SAMPLED) -> np.nda
     n, m = windows.shape
     padded = np.hstack([windows, np.zeros((n, 1), np.uint64)])
     rng = np.random.default_rng(m)
-    picks = np.sort(rng.integers(0, 2 * m, (tables, sampled)), axis=1)
-    out = np.empty((n, tables), np.uint64)
-    row = np.arange(n)
-    for t in range(tables):
-        at, key = np.zeros(n, np.int64), np.full(n, np.uint64(t + 1))
-        steps = mix64(np.arange(2 * m, dtype=np.uint64) + np.uint64((t + 1) * 1_000_003))
-        for j in range(int(picks[t, -1]) + 1):
-            word = padded[row, at]
-            for _ in range(int((picks[t] == j).sum())):
-                key = mix64(key * np.uint64(0x9E3779B97F4A7C15) + word)
-            at = np.minimum(at + ((mix64(word ^ steps[j]) >> np.uint64(40)) & np.uint64(1)).astype(np.int64), m)
-        out[:, t] = key
-    return out
+    picks = np.stack([rng.permutation(2 * m)[:sampled] for _ in range(tables)])
+    number = np.arange(1, tables + 1, dtype=np.uint64)
+    steps = mix64(np.arange(2 * m, dtype=np.uint64)[:, None] + number * np.uint64(1_000_003))
+    row = np.arange(n)[:, None]
+    at, keys = np.zeros((n, tables), np.int64), np.tile(number, (n, 1))
+    for j in range(int(picks.max()) + 1):  # all tables walk together
+        word = padded[row, at]
+        taken = np.flatnonzero((picks == j).any(1))
+        if len(taken):
+            keys[:, taken] = mix64(keys[:, taken] * np.uint64(0x9E3779B97F4A7C15) + word[:, taken])
+        at += ((mix64(word ^ steps[j]) >> np.uint64(40)) & np.uint64(1)).astype(np.int64)
+        np.minimum(at, m, out=at)
+    return keys
 
 
 def infix_distance(item: np.ndarray, text: np.ndarray) -> tuple[int, int]:
@@ -213,7 +214,7 @@ def find_leaks(docs: DataFrame, benchmark: DataFrame, max_edit: float = MAX_EDIT
         def run(batches: Iterator[pa.RecordBatch], sent=sent, arrow=arrow) -> Iterator[pa.RecordBatch]:
             ready = sent.value
             for batch in batches:
-                for rows, data, offsets in chunks(batch, "text"):
+                for rows, data, offsets in chunks(batch, "text", CHUNK_BYTES):
                     row, start, end = word_spans(data, offsets, letters_only=True)
                     words = word_hashes(data, start, end, lower=True)
                     got = leaks_of(words, row, rows.num_rows, ready)
