@@ -2,9 +2,10 @@
 
 The matrix has a row per document and a column per word n-gram; its product with
 its own transpose counts the n-grams any two documents share. Equal rows are
-taken once. Two rows can reach the threshold only if they share one of their
-rarest n-grams (a prefix whose length follows from the row's size), so rows that
-share such n-grams, directly or in a chain, form a cluster and only clusters are
+taken once. Columns held by one row cannot count and come first in the order of
+n-grams. Two rows can reach the threshold only if they share one of their first
+n-grams (a prefix whose length follows from the row's size), so rows that share
+such n-grams, directly or in a chain, form a cluster and only clusters are
 multiplied. A cluster is cut into bands by size; bands further apart than the
 threshold allows are never multiplied, and a band is cut into blocks of bounded
 size. A task multiplies two blocks, drops pairs below the size-derived bound and
@@ -28,8 +29,10 @@ from .textwords import chunks, mix64, row_bounds, window_hashes, word_hashes, wo
 #: Documents and n-grams of a block at most (one document at least).
 BLOCK_DOCS = 256
 BLOCK_GRAMS = 1_000_000
-#: An n-gram standing in more than so many hash-ordered prefixes is common and is put last.
-COMMON = 2
+#: n-grams of one part when repeated ones are looked for, about.
+PART_GRAMS = 1 << 20
+#: n-grams a task gathers before it hands them to the parts.
+HELD_GRAMS = 2 << 20
 LOG_BITS = 26
 LAST = (1 << 63) - 1
 
@@ -66,6 +69,55 @@ def prefix_size(size: int, num: int, den: int) -> int:
     return size + (-num * size) // den + 1
 
 
+def _repeated_grams(texts: DataFrame, rows_of, first_tags, grams: int, log_bits: int) -> np.ndarray:
+    """Bitmap of the n-grams that stand in two or more different sets.
+
+    Tasks deal their n-grams into parts by hash and hand each part 32 further
+    bits of every n-gram, so that a part finds what repeats by sorting 4 bytes
+    each. An n-gram is handed on at most twice per gathered lot, so one that a
+    third of all documents hold does not swell its part. The number of parts
+    follows the number of n-grams.
+    """
+    bits = max(0, min(16, (max(grams, 1) // PART_GRAMS).bit_length()))
+    low = 32  # log_bits is at most this, so what a part sees fixes the place in the bitmap
+
+    def deal(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: list[np.ndarray] = []
+
+        def flush():
+            x = np.sort(np.concatenate(held)) if held else np.zeros(0, np.uint64)
+            held.clear()
+            if len(x):
+                third = np.concatenate([[False, False], (x[2:] == x[:-2])]) if len(x) > 2 else np.zeros(len(x), bool)
+                x = x[~third]
+                part = (x >> np.uint64(low)).astype(np.int64)
+                cuts = np.concatenate([[0], np.flatnonzero(np.diff(part)) + 1, [len(x)]])
+                raw = [x[a:b].astype(np.uint32).tobytes() for a, b in zip(cuts[:-1], cuts[1:])]
+                yield pa.RecordBatch.from_arrays([pa.array(part[cuts[:-1]]), pa.array(raw, pa.binary())], names=["part", "grams"])
+
+        for batch in batches:
+            for _, found, _, tags in rows_of(batch):
+                keep = np.flatnonzero(in_bitmap(first_tags.value, tags))
+                held += [found[k] & np.uint64((1 << (low + bits)) - 1) for k in keep]
+                if sum(map(len, held)) > HELD_GRAMS:
+                    yield from flush()
+        yield from flush()
+
+    def repeats(group):
+        x = np.sort(np.concatenate([np.frombuffer(b, np.uint32) for b in group.column("grams").to_pylist()]))
+        x = np.unique(x[1:][x[1:] == x[:-1]].astype(np.int64) & ((1 << log_bits) - 1))
+        if not len(x):
+            return pa.table({"w": pa.array([], pa.int64()), "b": pa.array([], pa.int64())})
+        word, first = np.unique(x >> 6, return_index=True)
+        return pa.table({"w": word, "b": np.bitwise_or.reduceat(np.uint64(1) << (x & 63).astype(np.uint64), first).view(np.int64)})
+
+    dealt = texts.mapInArrow(deal, "part long, grams binary").groupBy("part").applyInArrow(repeats, "w long, b long")
+    got = dealt.groupBy("w").agg(F.bit_or("b").alias("b")).toArrow()
+    out = np.zeros(1 << (log_bits - 6), np.uint64)
+    out[got.column("w").to_numpy()] = got.column("b").to_numpy().view(np.uint64)
+    return out
+
+
 def block_links(sizes: np.ndarray, flat: np.ndarray, left: np.ndarray, right: np.ndarray, num: int, den: int) -> np.ndarray:
     """Component label (an index) of each set of two blocks, linking only across
     them (or within, if they are the same). ``flat``: the sets one after another."""
@@ -138,41 +190,31 @@ def jaccard_components(docs: DataFrame, n: int = 5, num: int = 4, den: int = 5,
     def describe(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for rows, sets, nodes, tags in rows_of(batch):
-                parts = [s[: prefix_size(len(s), num, den)] for s in sets]
-                columns = [rows.column("at"), rows.column("body"), pa.array([len(s) for s in sets], pa.int64()), pa.array(nodes), pa.array(tags.view(np.int64)), lists(parts)]
-                yield pa.RecordBatch.from_arrays(columns, names=["at", "body", "size", "node", "tag", "grams"])
+                columns = [rows.column("at"), rows.column("body"), pa.array([len(s) for s in sets], pa.int64()), pa.array(nodes), pa.array(tags.view(np.int64))]
+                yield pa.RecordBatch.from_arrays(columns, names=["at", "body", "size", "node", "tag"])
 
-    sets = saved(texts.mapInArrow(describe, "at long, body long, size long, node long, tag long, grams array<long>"), "gram-sets")
-    common = sets.select(F.explode("grams").alias("g")).groupBy("g").agg(F.count(F.lit(1)).alias("c")).where(F.col("c") > COMMON)
-    common = spark.sparkContext.broadcast(bitmap(common, F.col("g"), log_bits))
+    sets = saved(texts.mapInArrow(describe, "at long, body long, size long, node long, tag long"), "gram-sets")
     firsts = saved(sets.where("size > 0").groupBy("node").agg(F.min(F.struct("at", "tag")).alias("one"), F.first("size").alias("size")), "gram-nodes")
     first_tags = spark.sparkContext.broadcast(bitmap(firsts, F.col("one.tag"), log_bits))
+    grams = firsts.agg(F.coalesce(F.sum("size"), F.lit(0))).first()[0]
+    repeated = spark.sparkContext.broadcast(_repeated_grams(texts, rows_of, first_tags, grams, log_bits))
 
-    def prefixes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def postings(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for _, found, nodes, tags in rows_of(batch):
-                keep = np.flatnonzero(in_bitmap(first_tags.value, tags) & np.array([len(s) > 0 for s in found], bool))
+                keep = np.flatnonzero(in_bitmap(first_tags.value, tags))
                 parts = []
                 for k in keep:
-                    late = in_bitmap(common.value, found[k])
-                    p = prefix_size(len(found[k]), num, den)
-                    parts.append(np.concatenate([found[k][~late][:p], found[k][late]])[:p])
-                yield pa.RecordBatch.from_arrays([pa.array(nodes[keep]), lists(parts)], names=["node", "grams"])
-
-    ordered = saved(texts.mapInArrow(prefixes, "node long, grams array<long>"), "gram-prefixes")
-    shared = ordered.select("node", F.explode("grams").alias("g")).groupBy("g").agg(F.min("node").alias("low"), F.max("node").alias("high"))
-    shared = saved(shared.where("low < high").drop("high"), "gram-shared")
-    several = spark.sparkContext.broadcast(bitmap(shared, F.col("g"), log_bits))
-
-    def postings(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            grams = batch.column("grams")
-            flat = grams.flatten().to_numpy(zero_copy_only=False)
-            node = np.repeat(batch.column("node").to_numpy(), np.diff(grams.offsets.to_numpy()))
-            keep = in_bitmap(several.value, flat.view(np.uint64))
-            yield pa.RecordBatch.from_arrays([pa.array(node[keep]), pa.array(flat[keep])], names=["node", "g"])
-
-    met = ordered.mapInArrow(postings, "node long, g long").join(shared, "g").where("node != low")
+                    late = in_bitmap(repeated.value, found[k])
+                    left = prefix_size(len(found[k]), num, den) - int(len(late) - late.sum()) if len(late) else 0
+                    parts.append(found[k][late][: max(0, left)])
+                node = np.repeat(nodes[keep], [len(x) for x in parts])
+                flat = np.concatenate(parts) if parts else np.zeros(0, np.uint64)
+                yield pa.RecordBatch.from_arrays([pa.array(node), pa.array(flat.view(np.int64))], names=["node", "g"])
+
+    posted = saved(texts.mapInArrow(postings, "node long, g long"), "gram-postings")
+    shared = posted.groupBy("g").agg(F.min("node").alias("low"), F.max("node").alias("high")).where("low < high").drop("high")
+    met = posted.join(shared, "g").where("node != low")
     clusters = connected(met.select(F.col("node").alias("u"), F.col("low").alias("v")))
     clusters = saved(clusters.unionByName(clusters.select(F.col("root").alias("node"), "root").distinct()), "gram-clusters")
     members = clusters.join(firsts, "node").select("node", F.col("root").alias("cluster"), "size", "one.tag")
