@@ -2,8 +2,8 @@
 
 The matrix has a row per document and a column per word n-gram; its product with
 its own transpose counts the n-grams any two documents share. Equal rows are
-taken once. Columns held by one row cannot count and come first in the order of
-n-grams. Two rows can reach the threshold only if they share one of their first
+taken once. In the order of n-grams those held by one row come first (they
+cannot count and are left out of the product), then those held by a few. Two rows can reach the threshold only if they share one of their first
 n-grams (a prefix whose length follows from the row's size), so rows that share
 such n-grams, directly or in a chain, form a cluster and only clusters are
 multiplied. A cluster is cut into bands by size; bands further apart than the
@@ -33,6 +33,8 @@ BLOCK_GRAMS = 1_000_000
 PART_GRAMS = 1 << 20
 #: n-grams a task gathers before it hands them to the parts.
 HELD_GRAMS = 2 << 20
+#: An n-gram met more often than this is common and comes last in the order.
+COMMON = 8
 LOG_BITS = 26
 LAST = (1 << 63) - 1
 
@@ -69,8 +71,8 @@ def prefix_size(size: int, num: int, den: int) -> int:
     return size + (-num * size) // den + 1
 
 
-def _repeated_grams(texts: DataFrame, rows_of, first_tags, grams: int, log_bits: int) -> np.ndarray:
-    """Bitmap of the n-grams that stand in two or more different sets.
+def _repeated_grams(texts: DataFrame, rows_of, first_tags, grams: int, log_bits: int) -> tuple[np.ndarray, np.ndarray]:
+    """Bitmaps of the n-grams that stand in two or more different sets, and of the common ones.
 
     Tasks deal their n-grams into parts by hash and hand each part 32 further
     bits of every n-gram, so that a part finds what repeats by sorting 4 bytes
@@ -105,24 +107,28 @@ def _repeated_grams(texts: DataFrame, rows_of, first_tags, grams: int, log_bits:
 
     def repeats(group):
         x = np.sort(np.concatenate([np.frombuffer(b, np.uint32) for b in group.column("grams").to_pylist()]))
-        x = np.unique(x[1:][x[1:] == x[:-1]].astype(np.int64) & ((1 << log_bits) - 1))
-        if not len(x):
-            return pa.table({"w": pa.array([], pa.int64()), "b": pa.array([], pa.int64())})
-        word, first = np.unique(x >> 6, return_index=True)
-        return pa.table({"w": word, "b": np.bitwise_or.reduceat(np.uint64(1) << (x & 63).astype(np.uint64), first).view(np.int64)})
-
-    dealt = texts.mapInArrow(deal, "part long, grams binary").groupBy("part").applyInArrow(repeats, "w long, b long")
-    got = dealt.groupBy("w").agg(F.bit_or("b").alias("b")).toArrow()
-    out = np.zeros(1 << (log_bits - 6), np.uint64)
-    out[got.column("w").to_numpy()] = got.column("b").to_numpy().view(np.uint64)
-    return out
-
-
-def block_links(sizes: np.ndarray, flat: np.ndarray, left: np.ndarray, right: np.ndarray, num: int, den: int) -> np.ndarray:
+        x, n = np.unique(x, return_counts=True)
+        x, n = x[n > 1].astype(np.int64) & ((1 << log_bits) - 1), n[n > 1]
+        order = np.argsort(x, kind="stable")
+        bit = np.uint64(1) << (x[order] & 63).astype(np.uint64)
+        word, first = np.unique(x[order] >> 6, return_index=True)
+        both = [np.bitwise_or.reduceat(b, first) if len(first) else bit for b in (bit, np.where(n[order] > COMMON, bit, np.uint64(0)))]
+        return pa.table({"w": word, "b": both[0].view(np.int64), "c": both[1].view(np.int64)})
+
+    dealt = texts.mapInArrow(deal, "part long, grams binary").groupBy("part").applyInArrow(repeats, "w long, b long, c long")
+    got = dealt.groupBy("w").agg(F.bit_or("b").alias("b"), F.bit_or("c").alias("c")).toArrow()
+    out = np.zeros((2, 1 << (log_bits - 6)), np.uint64)
+    for k, name in enumerate("bc"):
+        out[k, got.column("w").to_numpy()] = got.column(name).to_numpy().view(np.uint64)
+    return out[0], out[1]
+
+
+def block_links(sizes: np.ndarray, held: np.ndarray, flat: np.ndarray, left: np.ndarray, right: np.ndarray, num: int, den: int) -> np.ndarray:
     """Component label (an index) of each set of two blocks, linking only across
-    them (or within, if they are the same). ``flat``: the sets one after another."""
+    them (or within, if they are the same). ``flat``: the sets one after another,
+    ``held`` members of each, which may leave out those of no other set."""
     n = len(sizes)
-    row = np.repeat(np.arange(n), sizes)
+    row = np.repeat(np.arange(n), held)
     order = np.argsort(flat, kind="stable")
     column = np.cumsum(np.concatenate([[0], flat[order][1:] != flat[order][:-1]]))
     count = np.bincount(column)
@@ -205,16 +211,17 @@ def jaccard_components(docs: DataFrame, n: int = 5, num: int = 4, den: int = 5,
                 keep = np.flatnonzero(in_bitmap(first_tags.value, tags))
                 parts = []
                 for k in keep:
-                    late = in_bitmap(repeated.value, found[k])
-                    left = prefix_size(len(found[k]), num, den) - int(len(late) - late.sum()) if len(late) else 0
-                    parts.append(found[k][late][: max(0, left)])
+                    twice = found[k][in_bitmap(repeated.value[0], found[k])]
+                    left = prefix_size(len(found[k]), num, den) - (len(found[k]) - len(twice)) if len(twice) else 0
+                    last = in_bitmap(repeated.value[1], twice) if left > 0 else None
+                    parts.append(np.concatenate([twice[~last], twice[last]])[:left] if left > 0 else twice[:0])
                 node = np.repeat(nodes[keep], [len(x) for x in parts])
                 flat = np.concatenate(parts) if parts else np.zeros(0, np.uint64)
                 yield pa.RecordBatch.from_arrays([pa.array(node), pa.array(flat.view(np.int64))], names=["node", "g"])
 
     posted = saved(texts.mapInArrow(postings, "node long, g long"), "gram-postings")
     shared = posted.groupBy("g").agg(F.min("node").alias("low"), F.max("node").alias("high")).where("low < high").drop("high")
-    met = posted.join(shared, "g").where("node != low")
+    met = posted.join(shared, "g").where("node != low").select("node", "low").distinct()
     clusters = connected(met.select(F.col("node").alias("u"), F.col("low").alias("v")))
     clusters = saved(clusters.unionByName(clusters.select(F.col("root").alias("node"), "root").distinct()), "gram-clusters")
     members = clusters.join(firsts, "node").select("node", F.col("root").alias("cluster"), "size", "one.tag")
@@ -239,7 +246,7 @@ def jaccard_components(docs: DataFrame, n: int = 5, num: int = 4, den: int = 5,
             for _, found, nodes, tags in rows_of(batch):
                 keep = np.flatnonzero(in_bitmap(wanted.value, tags))
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(nodes[keep]), pa.array(tags[keep].view(np.int64)), lists([found[k] for k in keep])], names=["node", "tag", "grams"]
+                    [pa.array(nodes[keep]), pa.array(tags[keep].view(np.int64)), lists([found[k][in_bitmap(repeated.value[0], found[k])] for k in keep])], names=["node", "tag", "grams"]
                 )
 
     matrix = texts.mapInArrow(rows_wanted, "node long, tag long, grams array<long>")
@@ -258,8 +265,8 @@ def jaccard_components(docs: DataFrame, n: int = 5, num: int = 4, den: int = 5,
         F.transform(numbers(F.col("below")), lambda j: F.struct(block(band - 1, j).alias("x"), own.alias("y"))),
     )
     single = F.array(F.struct(F.lit(0).cast("long").alias("x"), F.lit(0).cast("long").alias("y")))
-    placed = placed.select("node", "tag", "cluster", F.when(F.col("one"), F.lit(0)).otherwise(own).alias("own"), F.when(F.col("one"), single).otherwise(pairs).alias("pairs"))
-    dealt = matrix.join(placed, ["node", "tag"]).select("cluster", "own", "node", "grams", F.explode("pairs").alias("pair")).select("cluster", "pair.*", "own", "node", "grams")
+    placed = placed.select("node", "tag", "cluster", "size", F.when(F.col("one"), F.lit(0)).otherwise(own).alias("own"), F.when(F.col("one"), single).otherwise(pairs).alias("pairs"))
+    dealt = matrix.join(placed, ["node", "tag"]).select("cluster", "own", "node", "size", "grams", F.explode("pairs").alias("pair")).select("cluster", "pair.*", "own", "node", "size", "grams")
 
     def multiply(key, group):
         node, own_block = group.column("node").to_numpy(), group.column("own").to_numpy()
@@ -267,8 +274,8 @@ def jaccard_components(docs: DataFrame, n: int = 5, num: int = 4, den: int = 5,
         arrays = group.column("grams").combine_chunks()
         found = [arrays[int(k)].values.to_numpy().view(np.uint64) for k in at]
         x, y = key[1].as_py(), key[2].as_py()
-        sizes = np.array([len(f) for f in found], np.int64)
-        label = block_links(sizes, np.concatenate(found), own_block[at] == x, own_block[at] == y, num, den)
+        sizes, held = group.column("size").to_numpy()[at], np.array([len(f) for f in found], np.int64)
+        label = block_links(sizes, held, np.concatenate(found), own_block[at] == x, own_block[at] == y, num, den)
         linked = np.flatnonzero(label != np.arange(len(label)))
         return pa.table({"u": node[linked], "v": node[label[linked]]})
 
