@@ -19,6 +19,8 @@ from pyspark.sql.types import StructType
 from .textwords import chunks, row_bounds
 
 LOG_BUCKETS = 14
+#: Text bytes scored at once.
+CHUNK_BYTES = 1 << 19
 #: Log-likelihood a path must gain to change language once.
 SWITCH = 12.0
 #: A language is a candidate for words in scripts that hold this share of its letters.
@@ -108,7 +110,7 @@ def language_counts(docs: DataFrame) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         sums: dict[str, tuple[np.ndarray, np.ndarray]] = {}
         for batch in batches:
-            for rows, data, offsets in chunks(batch, "text"):
+            for rows, data, offsets in chunks(batch, "text", CHUNK_BYTES):
                 cps, at = code_points(data, offsets)
                 letters = scripts_of(cps)
                 buckets = triple_buckets(cps, letters)
@@ -236,7 +238,7 @@ def label_languages(docs: DataFrame, model: Model, switch: float = SWITCH) -> Da
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for rows, data, offsets in chunks(batch, "text"):
+            for rows, data, offsets in chunks(batch, "text", CHUNK_BYTES):
                 cps, at = code_points(data, offsets)
                 letters = scripts_of(cps)
                 buckets = triple_buckets(cps, letters)
