@@ -17,12 +17,14 @@ def strip(c: Column | str) -> Column:
     return F.regexp_replace(c, r"^\s+|\s+$", "")
 
 
-# Exclusive bounds of the integral targets, as doubles.
+# Bounds of the integral targets. As doubles, a value fits if it is above the
+# first less one and below the second plus one; 2**63 is a double itself, and
+# below -2**63 no double rounds into the range.
 _RANGE = {
-    "int": (-2147483649.0, 2147483648.0),
-    "integer": (-2147483649.0, 2147483648.0),
-    "bigint": (-9223372036854775809.0, 9223372036854775807.0),
-    "long": (-9223372036854775809.0, 9223372036854775807.0),
+    "int": (-(1 << 31), (1 << 31) - 1),
+    "integer": (-(1 << 31), (1 << 31) - 1),
+    "bigint": (-(1 << 63), (1 << 63) - 1),
+    "long": (-(1 << 63), (1 << 63) - 1),
 }
 
 
@@ -35,15 +37,34 @@ def narrow(c: Column | str, target: str) -> Column:
     """
     c = F.col(c) if isinstance(c, str) else c
     lo, hi = _RANGE[target]
-    return F.when((c > F.lit(lo)) & (c < F.lit(hi)), c.cast(target))
+    above = c >= F.lit(float(lo)) if hi >= 1 << 53 else c > F.lit(float(lo - 1))
+    return F.when(above & (c < F.lit(float(hi + 1))), c.cast(target))
 
 
-_NUMERIC = ("tinyint", "smallint", "int", "bigint", "float", "double")
 # Text Spark's integral cast can accept: optional sign and digits, padded by
 # the characters its cast trims (code points up to space).
 _INTEGRAL_TEXT = r"^[\x00-\x20]*[+-]?[0-9]+[\x00-\x20]*$"
+_INTEGRAL = ("tinyint", "smallint", "int", "bigint")
+_FRACTIONAL = ("float", "double")
 
 
+def integral(c: Column | str, target: str) -> Column:
+    """A column of any number or text type -> ``target``, chosen by its own type.
+
+    Integral columns are range-tested and cast as they are, text of digits is
+    cast directly (no digit is lost), all else goes through double. The type test
+    is a constant, so only the fitting branch stays in the plan.
+    """
+    c = F.col(c) if isinstance(c, str) else c
+    lo, hi = _RANGE[target]
+    kind, number = F.typeof(c), narrow(c.try_cast("double"), target)
+    whole = c.try_cast("bigint")
+    digits = F.when(c.cast("string").rlike(_INTEGRAL_TEXT), c.cast("string").try_cast(target)).otherwise(number)
+    return (
+        F.when(kind.isin(*_INTEGRAL), F.when(whole.between(F.lit(lo), F.lit(hi)), whole.cast(target)))
+        .when(kind == "string", digits)
+        .otherwise(number)
+    )
 def convert(df: DataFrame, name: str, target: str) -> Column:
     """Best conversion of column ``name`` of ``df`` to ``target`` (null when it cannot).
 
@@ -52,7 +73,9 @@ def convert(df: DataFrame, name: str, target: str) -> Column:
     bad rows cost no exception.
     """
     source = dict(df.dtypes)[name]
-    if target in _RANGE and source in _NUMERIC:
+    if target in _RANGE and source in _INTEGRAL:
+        return integral(name, target)
+    if target in _RANGE and source in _FRACTIONAL:
         return narrow(name, target)
     if target in _RANGE and source == "string":
         return F.when(F.col(name).rlike(_INTEGRAL_TEXT), F.col(name).try_cast(target))

@@ -9,6 +9,7 @@ from starmart.operators.quality import (
     duplicate_offenders,
     key_profile,
     null_key_count,
+    null_key_rows,
     null_key_sample,
     read_back,
     report_rows,
@@ -29,6 +30,7 @@ __all__ = [
     "lookup_join",
     "maybe_broadcast",
     "null_key_count",
+    "null_key_rows",
     "null_key_sample",
     "read_back",
     "report_rows",

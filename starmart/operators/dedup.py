@@ -19,27 +19,15 @@ def last_value(df: DataFrame, keys: Sequence[str], value: str, order: Column) ->
     return df.groupBy(*keys).agg(F.max_by(value, order).alias(value))
 
 
-def exact_average(value: str | Column, scale: int = 6) -> Column:
-    """Average with an exact decimal sum and one final division.
-
-    Values are summed as ``decimal(38, scale)``, so the sum does not depend on
-    how rows fall into partitions or in which order tasks finish (a retried
-    task yields the same bits); the average is that sum divided once by the
-    count of non-null values. Nulls are skipped; an all-null group gives null.
-    """
-    v = F.col(value) if isinstance(value, str) else value
-    total = F.sum(v.cast(f"decimal(38,{scale})")).cast("double")
-    return F.try_divide(total, F.count(v).cast("double"))
-
-
-def grouped_average(
-    df: DataFrame, keys: Sequence[str], value: str, alias: str, scale: int = 6
-) -> DataFrame:
+def grouped_average(df: DataFrame, keys: Sequence[str], value: str, alias: str) -> DataFrame:
     """Average of ``value`` per key, unweighted over input rows, nulls skipped.
 
+    The plain average: no digit of a value is cut, NaN and infinities show in
+    their group's average, and an all-null group gives null. The last bits of a
+    double sum can follow the order of tasks; reports round the result.
     Planned as partial + final aggregates: a hot key collapses map-side.
     """
-    return df.groupBy(*keys).agg(exact_average(value, scale).alias(alias))
+    return df.groupBy(*keys).agg(F.avg(value).alias(alias))
 
 
 def row_counts(tables: dict[str, DataFrame]) -> DataFrame:

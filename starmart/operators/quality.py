@@ -15,6 +15,7 @@ from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 PROFILE_COLUMNS = ["rows", "null_key_rows", "distinct_keys", "duplicate_keys", "duplicate_rows"]
 
@@ -51,9 +52,14 @@ def null_key_count(df: DataFrame, keys: Sequence[str]) -> DataFrame:
     return df.agg(F.count_if(_any_null(list(keys))).alias("null_key_rows"))
 
 
+def null_key_rows(df: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """The rows in which any key column is null."""
+    return df.where(_any_null(list(keys)))
+
+
 def null_key_sample(df: DataFrame, keys: Sequence[str]) -> list:
     """At most one offending row, for an error message."""
-    return df.where(_any_null(list(keys))).limit(1).collect()
+    return null_key_rows(df, keys).limit(1).collect()
 
 
 def duplicate_offenders(df: DataFrame, keys: Sequence[str]) -> DataFrame:
@@ -129,6 +135,10 @@ def write_parquet_observed(
     return dict(obs.get)
 
 
-def read_back(spark: SparkSession, table_name: str, path: str, written_rows: int) -> WriteCheck:
-    """Re-read what was written and compare counts (footer-only count scan)."""
-    return WriteCheck(table_name, written_rows, spark.read.parquet(path).count())
+def read_back(
+    spark: SparkSession, table_name: str, path: str, written_rows: int, schema: StructType | None = None
+) -> WriteCheck:
+    """Re-read what was written and compare counts (footer-only count scan). A
+    partitioned write of no rows leaves no file to infer from: pass its schema."""
+    reader = spark.read.schema(schema) if schema is not None else spark.read
+    return WriteCheck(table_name, written_rows, reader.parquet(path).count())

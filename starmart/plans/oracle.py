@@ -34,7 +34,7 @@ SELECT
   CASE WHEN o.o_orderkey % 10 = 0 THEN 'D/S'
        ELSE strftime(CAST(o.o_orderdate AS DATE) + 180, '%m%d%Y') END AS dtaddto,
   CASE WHEN o.o_custkey % 3 = 0 THEN 'M' WHEN o.o_custkey % 3 = 1 THEN 'F' END AS gender,
-  substring(c.c_name, 1, 1) AS airline,
+  c.c_name AS airline,
   CAST(o.o_custkey AS VARCHAR) AS fltno,
   CAST(o.o_orderkey + 5000000000 AS DOUBLE) AS admnum
 FROM orders o LEFT JOIN customer c ON o.o_custkey = c.c_custkey
@@ -70,7 +70,7 @@ b AS (
   SELECT o_orderkey, o_custkey,
          CASE WHEN o_orderdate < DATE '1999-01-01' THEN 'X' ELSE o_orderstatus END AS o_orderstatus,
          o_totalprice, o_orderdate, o_orderpriority
-  FROM o WHERE o_orderdate >= DATE '1998-07-01'
+  FROM o WHERE coalesce(o_orderdate >= DATE '1998-07-01', true)
 ),
 s AS (SELECT * FROM b UNION ALL SELECT * FROM b),
 ins AS (
@@ -83,7 +83,7 @@ _CUSTOMER_SPLIT = """
 WITH t AS (SELECT * FROM customer WHERE c_acctbal < 6000.0),
 b AS (
   SELECT c_custkey, c_name, c_nationkey, c_acctbal, lower(c_mktsegment) AS c_mktsegment
-  FROM customer WHERE c_acctbal >= 3000.0
+  FROM customer WHERE coalesce(c_acctbal >= 3000.0, true)
 ),
 s AS (SELECT * FROM b UNION ALL SELECT * FROM b),
 ds AS (SELECT DISTINCT * FROM s),
@@ -102,7 +102,7 @@ t AS (SELECT * FROM li WHERE l_shipdate < DATE '1999-01-01'),
 b AS (
   SELECT l_orderkey, l_partkey, l_suppkey, l_linenumber, l_quantity + 1 AS l_quantity,
          l_extendedprice, l_discount, l_tax, l_returnflag, l_linestatus, l_shipdate
-  FROM li WHERE l_shipdate >= DATE '1998-07-01'
+  FROM li WHERE coalesce(l_shipdate >= DATE '1998-07-01', true)
 ),
 s AS (SELECT * FROM b UNION ALL SELECT * FROM b),
 ds AS (SELECT DISTINCT * FROM s),
@@ -152,7 +152,7 @@ states AS (
 ),
 unemployment AS (
   SELECT year, month, state,
-         CAST(SUM(CAST(rate AS DECIMAL(38, 6))) AS DOUBLE) / COUNT(rate) AS avg_rate
+         ROUND(AVG(rate), 6) AS avg_rate
   FROM (
     SELECT DISTINCT CAST(year(o.o_orderdate) AS INTEGER) AS year,
            CAST(month(o.o_orderdate) AS INTEGER) AS month,
@@ -254,7 +254,7 @@ SELECT DISTINCT * FROM (SELECT * FROM customer UNION ALL SELECT * FROM customer)
 """,
     "rate_rollup": """
 SELECT year, month, state,
-       CAST(SUM(CAST(rate AS DECIMAL(38, 6))) AS DOUBLE) / COUNT(rate) AS avg_rate
+       ROUND(AVG(rate), 6) AS avg_rate
 FROM (
   SELECT DISTINCT CAST(year(o_orderdate) AS INTEGER) AS year,
          CAST(month(o_orderdate) AS INTEGER) AS month,
@@ -325,7 +325,7 @@ FROM (
 ) a
 LEFT JOIN (
   SELECT CAST(month(ts) AS INTEGER) AS month,
-         CAST(SUM(CAST(value AS DECIMAL(38, 6))) AS DOUBLE) / COUNT(value) AS avg_rate
+         ROUND(AVG(value), 6) AS avg_rate
   FROM events GROUP BY 1
 ) r ON a.month = r.month
 """,
@@ -337,6 +337,16 @@ FROM (
          CASE WHEN o_orderkey % 89 <> 0 THEN o_custkey END AS c
   FROM orders
 ) r
+""",
+    "dq_null_key_sample": """
+SELECT k AS o_orderkey, c AS o_custkey, o_totalprice
+FROM (
+  SELECT CASE WHEN o_orderkey % 97 <> 0 THEN o_orderkey END AS k,
+         CASE WHEN o_orderkey % 89 <> 0 THEN o_custkey END AS c, o_totalprice
+  FROM orders
+) r
+WHERE k IS NULL OR c IS NULL
+ORDER BY k NULLS FIRST, c NULLS FIRST, o_totalprice NULLS FIRST LIMIT 1
 """,
     "dq_duplicate_keys": """
 SELECT 'lineitem' AS table_name, CAST(SUM(n) AS BIGINT) AS rows,

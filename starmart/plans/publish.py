@@ -50,10 +50,17 @@ _MARKER_ROW_SCHEMA = StructType(
         StructField("published_at", TimestampType()),
         StructField("table", StringType()),
         StructField("version", LongType()),
+        StructField("attempt", StringType()),
     ]
 )
 
 
+def stored_columns(spec: TableSpec) -> StructType:
+    """Declared columns plus the storage partition columns (an empty batch
+    has no footer to infer from)."""
+    return StructType(spec.schema.fields + [StructField(p, IntegerType()) for p in spec.partition_by])
+
+
 @dataclass
 class StagedWrite:
     """A written but unpublished version with what the checks found."""
@@ -61,6 +68,7 @@ class StagedWrite:
     spec: TableSpec
     version: int
     path: str
+    attempt: str
     written_rows: int
     read_rows: int
     null_key_rows: int
@@ -85,6 +93,7 @@ class TableStore:
     def __init__(self, spark: SparkSession, root: str):
         self.spark = spark
         self.root = root.rstrip("/")
+        self._attempts: dict[tuple[str, int], str] = {}
 
     # -- layout ---------------------------------------------------------------
 
@@ -94,8 +103,15 @@ class TableStore:
     def _unit(self, spec: TableSpec) -> str:
         return "batch" if spec.insert_only else "version"
 
+    def attempt_dir(self, spec: TableSpec, version: int, attempt: str) -> str:
+        """One directory per staging attempt: what was checked is never overwritten."""
+        return f"{self.table_dir(spec)}/{self._unit(spec)}={version}/attempt={attempt}"
+
     def version_dir(self, spec: TableSpec, version: int) -> str:
-        return f"{self.table_dir(spec)}/{self._unit(spec)}={version}"
+        """The published attempt of a version, as its marker names it."""
+        if (spec.name, version) not in self._attempts:
+            self.all_published_versions()
+        return self.attempt_dir(spec, version, self._attempts[spec.name, version])
 
     def _markers_dir(self) -> str:
         return f"{self.root}/_published"
@@ -118,12 +134,13 @@ class TableStore:
             self.spark.read.schema(_MARKER_ROW_SCHEMA)
             .option("recursiveFileLookup", "true")
             .parquet(where)
-            .select("table", "version")
+            .select("table", "version", "attempt")
             .distinct()
         )
         out: dict[str, list[int]] = {}
         for r in markers.collect():
             out.setdefault(r.table, []).append(int(r.version))
+            self._attempts[r.table, int(r.version)] = r.attempt
         return {t: sorted(v) for t, v in out.items()}
 
     def published_versions(self, spec: TableSpec) -> list[int]:
@@ -158,11 +175,7 @@ class TableStore:
         return self.spark.read.schema(spec.schema).parquet(self.version_dir(spec, versions[-1]))
 
     def stored_schema(self, spec: TableSpec) -> StructType:
-        """Declared columns plus the storage partition columns (an empty batch
-        has no footer to infer from)."""
-        return StructType(
-            spec.schema.fields + [StructField(p, IntegerType()) for p in spec.partition_by]
-        )
+        return stored_columns(spec)
 
     # -- writing --------------------------------------------------------------
 
@@ -178,12 +191,13 @@ class TableStore:
         published = self.published_versions(spec) if published is None else published
         if published and version <= published[-1]:
             raise ValueError(f"{spec.name}: version {version} is not after published {published[-1]}")
-        path = self.version_dir(spec, version)
+        attempt = uuid.uuid4().hex
+        path = self.attempt_dir(spec, version, attempt)
         partition_by = list(spec.partition_by)
         out = df
         if partition_by:
             out = cluster_by_arrival_month(with_arrival_partition(df))
-        metrics = write_parquet_observed(out, path, partition_by=partition_by, mode="overwrite")
+        metrics = write_parquet_observed(out, path, partition_by=partition_by)
         written = self.spark.read.schema(self.stored_schema(spec)).parquet(path)
         profile = key_profile(written, spec.keys).first()
         samples = []
@@ -198,6 +212,7 @@ class TableStore:
             spec=spec,
             version=version,
             path=path,
+            attempt=attempt,
             written_rows=int(metrics["rows"]),
             read_rows=int(profile["rows"]),
             null_key_rows=int(profile["null_key_rows"]),
@@ -209,8 +224,13 @@ class TableStore:
         """Make checked versions visible by writing their markers.
 
         All rows go into one file, so the tables of one run become visible
-        together or not at all.
+        together or not at all. A version that is published already is refused;
+        each marker names the attempt that was checked.
         """
-        rows = [(s.written_rows, _dt.datetime.now(), s.spec.name, s.version) for s in staged]
+        published = self.all_published_versions()
+        for s in staged:
+            if s.version in published.get(s.spec.name, []):
+                raise ValueError(f"{s.spec.name}: version {s.version} is published already")
+        rows = [(s.written_rows, _dt.datetime.now(), s.spec.name, s.version, s.attempt) for s in staged]
         markers = self.spark.createDataFrame(rows, _MARKER_ROW_SCHEMA)
         markers.coalesce(1).write.parquet(f"{self._markers_dir()}/{uuid.uuid4().hex}")

@@ -17,13 +17,14 @@ from pyspark.sql.types import StringType, StructField, StructType
 
 from starmart.functions.casts import cast_columns, rename_columns
 from starmart.functions.dates import compact_date, epoch_day_to_date, month_name_to_number
-from starmart.operators.dedup import distinct_rows, exact_average, last_value, row_counts
+from starmart.operators.dedup import distinct_rows, grouped_average, last_value, row_counts
 from starmart.operators.joins import lookup_join
 from starmart.operators.merge import insert_only, upsert
 from starmart.operators.quality import (
     check_report,
     key_profile,
     null_key_count,
+    null_key_rows,
     write_parquet_observed,
 )
 from starmart.plans.marts import arrivals_lookup, top_n
@@ -235,7 +236,7 @@ def distinct_rows_q(spark: SparkSession, d: str) -> DataFrame:
 
 def rate_rollup(spark: SparkSession, d: str) -> DataFrame:
     path = write_csv(rate_sheet(spark, d), scratch_path(spark, "rate-csv"))
-    return build_unemployment(spark, path)
+    return build_unemployment(spark, path).withColumn("avg_rate", F.round("avg_rate", 6))
 
 
 # --- merges -------------------------------------------------------------------
@@ -244,7 +245,7 @@ def rate_rollup(spark: SparkSession, d: str) -> DataFrame:
 def _orders_target_staging(spark: SparkSession, d: str) -> tuple[DataFrame, DataFrame]:
     o = _orders(spark, d)
     target = o.where(F.col("o_orderdate") < F.lit(HISTORY_END).cast("date"))
-    batch = o.where(F.col("o_orderdate") >= F.lit(BATCH_START).cast("date")).withColumn(
+    batch = o.where(F.coalesce(F.col("o_orderdate") >= F.lit(BATCH_START).cast("date"), F.lit(True))).withColumn(
         "o_orderstatus",
         F.when(F.col("o_orderdate") < F.lit(HISTORY_END).cast("date"), F.lit("X")).otherwise(
             F.col("o_orderstatus")
@@ -256,7 +257,7 @@ def _orders_target_staging(spark: SparkSession, d: str) -> tuple[DataFrame, Data
 def _customer_target_staging(spark: SparkSession, d: str) -> tuple[DataFrame, DataFrame]:
     c = table(spark, d, "customer")
     target = c.where(F.col("c_acctbal") < CUSTOMER_TARGET_BELOW)
-    batch = c.where(F.col("c_acctbal") >= CUSTOMER_BATCH_FROM).withColumn(
+    batch = c.where(F.coalesce(F.col("c_acctbal") >= CUSTOMER_BATCH_FROM, F.lit(True))).withColumn(
         "c_mktsegment", F.lower("c_mktsegment")
     )
     return target, batch.unionByName(batch)
@@ -265,7 +266,7 @@ def _customer_target_staging(spark: SparkSession, d: str) -> tuple[DataFrame, Da
 def _lineitem_target_staging(spark: SparkSession, d: str) -> tuple[DataFrame, DataFrame]:
     li = _lineitem(spark, d)
     target = li.where(F.col("l_shipdate") < F.lit(HISTORY_END).cast("date"))
-    batch = li.where(F.col("l_shipdate") >= F.lit(BATCH_START).cast("date")).withColumn(
+    batch = li.where(F.coalesce(F.col("l_shipdate") >= F.lit(BATCH_START).cast("date"), F.lit(True))).withColumn(
         "l_quantity", F.col("l_quantity") + 1
     )
     return target, batch.unionByName(batch)
@@ -372,9 +373,9 @@ def arrivals_vs_rate(spark: SparkSession, d: str) -> DataFrame:
         F.year("o_orderdate").alias("year"), F.month("o_orderdate").alias("month")
     ).agg(F.count(F.lit(1)).alias("arrivals"))
     e = table(spark, d, "events")
-    rates = e.groupBy(F.month("ts").alias("month")).agg(exact_average("value").alias("avg_rate"))
+    rates = grouped_average(e.select(F.month("ts").alias("month"), "value"), ["month"], "value", "avg_rate")
     return lookup_join(arrivals, rates, "month", "left").select(
-        "year", "month", "arrivals", "avg_rate"
+        "year", "month", "arrivals", F.round("avg_rate", 6).alias("avg_rate")
     )
 
 
@@ -399,6 +400,13 @@ def dq_null_keys(spark: SparkSession, d: str) -> DataFrame:
     )
 
 
+def dq_null_key_sample(spark: SparkSession, d: str) -> DataFrame:
+    """The offending row shown with a failed null check: the first one in key order."""
+    orders = _orders_with_null_keys(spark, d)
+    order = [F.col(c).asc_nulls_first() for c in ("o_orderkey", "o_custkey", "o_totalprice")]
+    return null_key_rows(orders, ["o_orderkey", "o_custkey"]).orderBy(*order).limit(1)
+
+
 def dq_duplicate_keys(spark: SparkSession, d: str) -> DataFrame:
     p = key_profile(table(spark, d, "lineitem"), ["l_orderkey", "l_linenumber"])
     return p.select(
@@ -493,7 +501,7 @@ MISSING_SEGMENT = "MACHINERY"  # its arrivals have no state entry (like GU or 99
 
 
 def _capitalized(c):
-    return F.concat(F.upper(F.substring(c, 1, 1)), F.lower(F.substring(c, 2, 1 << 20)))
+    return F.concat(F.upper(F.substring(c, 1, 1)), F.lower(F.substr(c, F.lit(2))))
 
 
 def _star_labels(spark: SparkSession, d: str) -> str:
@@ -545,7 +553,8 @@ def star_arrivals_vs_rate(spark: SparkSession, d: str) -> DataFrame:
     """Arrivals per state and month beside that state's average rate, on the built star."""
     fact = build_fact(raw_arrivals(spark, d))
     states = build_states(spark, _star_states(spark, d))
-    return mart_arrivals_vs_rate(fact, states, build_unemployment(spark, _star_rates(spark, d)))
+    marts = mart_arrivals_vs_rate(fact, states, build_unemployment(spark, _star_rates(spark, d)))
+    return marts.withColumn("avg_rate", F.round("avg_rate", 6))
 
 
 def star_load(spark: SparkSession, d: str) -> DataFrame:
@@ -594,6 +603,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "lookup_top10": lookup_top10,
     "arrivals_vs_rate": arrivals_vs_rate,
     "dq_null_keys": dq_null_keys,
+    "dq_null_key_sample": dq_null_key_sample,
     "dq_duplicate_keys": dq_duplicate_keys,
     "row_counts": row_counts_q,
     "write_roundtrip": write_roundtrip,

@@ -18,7 +18,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from starmart.operators.merge import insert_only, upsert
 from starmart.operators.quality import WriteCheck, read_back, write_parquet_observed
-from starmart.plans.publish import StagedWrite, TableStore
+from starmart.plans.publish import StagedWrite, TableStore, stored_columns
 from starmart.plans.tables import (
     REJECT_FLAGS,
     build_fact_with_rejects,
@@ -86,7 +86,7 @@ def build_star_files(
         drop_after=[REJECT_FLAGS],
     )
     result.rejects = {k: int(v or 0) for k, v in metrics.items() if k.startswith("rejected_")}
-    result.checks[FACT.name] = read_back(spark, FACT.name, files.path(FACT.name), int(metrics["rows"]))
+    result.checks[FACT.name] = read_back(spark, FACT.name, files.path(FACT.name), int(metrics["rows"]), stored_columns(FACT))
 
     for spec, df in (
         (ORIGIN, build_origin(spark, code_lists)),
@@ -94,7 +94,7 @@ def build_star_files(
         (UNEMPLOYMENT, build_unemployment(spark, rates_csv)),
     ):
         m = write_parquet_observed(df, files.path(spec.name), mode=mode)
-        result.checks[spec.name] = read_back(spark, spec.name, files.path(spec.name), int(m["rows"]))
+        result.checks[spec.name] = read_back(spark, spec.name, files.path(spec.name), int(m["rows"]), stored_columns(spec))
     return result
 
 

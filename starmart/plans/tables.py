@@ -11,7 +11,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from starmart.functions.casts import narrow, rename_columns
+from starmart.functions.casts import integral, rename_columns
 from starmart.functions.dates import compact_date, epoch_day_to_date, month_name_to_number
 from starmart.operators.dedup import distinct_rows, grouped_average
 from starmart.schemas import (
@@ -38,10 +38,9 @@ def _conversions() -> dict[str, Column]:
         # The stay limit is parsed from its own text, month first.
         "dtaddto": compact_date("dtaddto", STAY_DATE_PATTERN),
     }
-    # Raw numbers may arrive as double, int or text: all go through double
-    # (a no-op cast Catalyst removes when the file already holds doubles).
-    conv.update({c: narrow(F.col(c).try_cast("double"), "int") for c in INT_COLUMNS})
-    conv.update({c: narrow(F.col(c).try_cast("double"), "bigint") for c in BIGINT_COLUMNS})
+    # Raw numbers may arrive as double, integer or text; ids keep all digits.
+    conv.update({c: integral(c, "int") for c in INT_COLUMNS})
+    conv.update({c: integral(c, "bigint") for c in BIGINT_COLUMNS})
     return conv
 
 

@@ -28,6 +28,8 @@ def shared_dir(spark: SparkSession) -> str:
         base = sc.getConf().get("spark.checkpoint.dir", None) or base
         if not base and sc.getCheckpointDir():
             return sc.getCheckpointDir().rstrip("/")
+    if not base and sc is not None and not sc.master.startswith("local["):
+        raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
     if not base:
         base = tempfile.mkdtemp(prefix="starmart-ckpt-")
         spark.conf.set("spark.checkpoint.dir", base)

@@ -61,7 +61,7 @@ def raw_arrivals(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.when(F.col("o_custkey") % 3 == 0, F.lit("M"))
         .when(F.col("o_custkey") % 3 == 1, F.lit("F"))
         .alias("gender"),
-        F.substring("c_name", 1, 1).alias("airline"),
+        F.col("c_name").alias("airline"),
         F.col("o_custkey").cast("string").alias("fltno"),
         (F.col("o_orderkey") + 5000000000).cast("double").alias("admnum"),
     )

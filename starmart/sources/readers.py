@@ -10,8 +10,8 @@ from pyspark.sql.types import StructType
 def read_parquet(spark: SparkSession, path: str | list[str], schema: StructType | None = None) -> DataFrame:
     """Parquet directory (or several) as one DataFrame.
 
-    With a schema no footer sampling is needed at planning time and a missing
-    column fails early; either way only the columns a query uses are read.
+    With a schema no footer sampling is needed at planning time; a declared
+    column that a file lacks reads as null. Only the columns a query uses are read.
     """
     reader = spark.read.schema(schema) if schema is not None else spark.read
     paths = [path] if isinstance(path, str) else list(path)
@@ -25,11 +25,12 @@ def read_csv(spark: SparkSession, path: str | list[str], schema: StructType) ->
     file with reordered columns reads the same); a declared column missing
     from the header raises. Declared columns come first under their declared
     names, other header columns follow unchanged (they still take part in
-    whole-row de-duplication). Values stay text and are typed afterwards with
+    whole-row de-duplication). Several files must share one header: a file whose
+    header differs in names or order raises when it is read. Values stay text and are typed afterwards with
     null-on-failure conversions.
     """
     paths = [path] if isinstance(path, str) else list(path)
-    raw = spark.read.option("header", True).option("mode", "PERMISSIVE").csv(paths)
+    raw = spark.read.option("header", True).option("mode", "PERMISSIVE").option("enforceSchema", False).csv(paths)
     by_lower = {c.lower(): c for c in raw.columns}
     missing = [f.name for f in schema.fields if f.name.lower() not in by_lower]
     if missing:

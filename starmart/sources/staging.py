@@ -9,6 +9,7 @@ Staging frames are per run: nothing accumulates between runs.
 
 from __future__ import annotations
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import (
@@ -48,7 +49,12 @@ def load_staging(spark: SparkSession, path: str | list[str], spec: TableSpec) ->
     null key raises when the frame is evaluated.
     """
     paths = [path] if isinstance(path, str) else list(path)
-    raw = spark.read.parquet(*paths)
+    try:
+        raw = spark.read.parquet(*paths)
+    except AnalysisException as e:
+        if e.getCondition() != "UNABLE_TO_INFER_SCHEMA":
+            raise
+        raw = spark.read.schema(spec.schema).parquet(*paths)  # an empty batch has no file
     found = {f.name: f.dataType for f in raw.schema.fields}
     problems = []
     for field in spec.schema.fields:
