@@ -124,7 +124,7 @@ def language_counts(docs: DataFrame) -> DataFrame:
             for kind, counts in enumerate(both):
                 some = np.flatnonzero(counts)
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array([lang] * len(some)), pa.array(np.full(len(some), kind, np.int32)), pa.array(some.astype(np.int32)), pa.array(counts[some])],
+                    [pa.array([lang] * len(some), pa.string()), pa.array(np.full(len(some), kind, np.int32)), pa.array(some.astype(np.int32)), pa.array(counts[some])],
                     names=["lang", "kind", "bucket", "n"],
                 )
 
