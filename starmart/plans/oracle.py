@@ -152,7 +152,7 @@ states AS (
 ),
 unemployment AS (
   SELECT year, month, state,
-         ROUND(AVG(rate), 6) AS avg_rate
+         ROUND(AVG(rate) + 1e-8, 6) AS avg_rate
   FROM (
     SELECT DISTINCT CAST(year(o.o_orderdate) AS INTEGER) AS year,
            CAST(month(o.o_orderdate) AS INTEGER) AS month,
@@ -254,7 +254,7 @@ SELECT DISTINCT * FROM (SELECT * FROM customer UNION ALL SELECT * FROM customer)
 """,
     "rate_rollup": """
 SELECT year, month, state,
-       ROUND(AVG(rate), 6) AS avg_rate
+       ROUND(AVG(rate) + 1e-8, 6) AS avg_rate
 FROM (
   SELECT DISTINCT CAST(year(o_orderdate) AS INTEGER) AS year,
          CAST(month(o_orderdate) AS INTEGER) AS month,
@@ -325,7 +325,7 @@ FROM (
 ) a
 LEFT JOIN (
   SELECT CAST(month(ts) AS INTEGER) AS month,
-         ROUND(AVG(value), 6) AS avg_rate
+         ROUND(AVG(value) + 1e-8, 6) AS avg_rate
   FROM events GROUP BY 1
 ) r ON a.month = r.month
 """,

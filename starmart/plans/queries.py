@@ -11,7 +11,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType, StructField, StructType
 
@@ -234,9 +234,14 @@ def distinct_rows_q(spark: SparkSession, d: str) -> DataFrame:
 # --- roll-up ------------------------------------------------------------------
 
 
+def _rounded(c: str) -> Column:
+    """Six decimals, nudged off exact ties, which engines round either way."""
+    return F.round(F.col(c) + 1e-8, 6)
+
+
 def rate_rollup(spark: SparkSession, d: str) -> DataFrame:
     path = write_csv(rate_sheet(spark, d), scratch_path(spark, "rate-csv"))
-    return build_unemployment(spark, path).withColumn("avg_rate", F.round("avg_rate", 6))
+    return build_unemployment(spark, path).withColumn("avg_rate", _rounded("avg_rate"))
 
 
 # --- merges -------------------------------------------------------------------
@@ -375,7 +380,7 @@ def arrivals_vs_rate(spark: SparkSession, d: str) -> DataFrame:
     e = table(spark, d, "events")
     rates = grouped_average(e.select(F.month("ts").alias("month"), "value"), ["month"], "value", "avg_rate")
     return lookup_join(arrivals, rates, "month", "left").select(
-        "year", "month", "arrivals", F.round("avg_rate", 6).alias("avg_rate")
+        "year", "month", "arrivals", _rounded("avg_rate").alias("avg_rate")
     )
 
 
@@ -554,7 +559,7 @@ def star_arrivals_vs_rate(spark: SparkSession, d: str) -> DataFrame:
     fact = build_fact(raw_arrivals(spark, d))
     states = build_states(spark, _star_states(spark, d))
     marts = mart_arrivals_vs_rate(fact, states, build_unemployment(spark, _star_rates(spark, d)))
-    return marts.withColumn("avg_rate", F.round("avg_rate", 6))
+    return marts.withColumn("avg_rate", _rounded("avg_rate"))
 
 
 def star_load(spark: SparkSession, d: str) -> DataFrame:
