@@ -244,7 +244,7 @@ def label_languages(docs: DataFrame, model: Model, switch: float = SWITCH) -> Da
                 buckets = triple_buckets(cps, letters)
                 row, start, _ = words_of(cps, at)
                 bounds = row_bounds(row, rows.num_rows)
-                size, scores = word_scores(model, letters, buckets, start) if len(start) else (start, np.zeros((0, len(model.languages))))
+                size, scores = word_scores(model, letters, buckets, start) if len(start) and model.languages else (start, np.zeros((0, len(model.languages))))
                 got = [label_text(model.languages, size[a:b], scores[a:b], switch) for a, b in zip(bounds[:-1], bounds[1:])]
                 columns = [pa.array([g[k] for g in got], arrow.field(len(arrow) - 3 + k).type) for k in range(3)]
                 yield pa.RecordBatch.from_arrays([*rows.columns, *columns], schema=pa.schema([*rows.schema, *[arrow.field(len(arrow) - 3 + k) for k in range(3)]]))
