@@ -155,15 +155,16 @@ def train(docs: DataFrame) -> Model:
 def best_path(scores: np.ndarray, switch: float) -> np.ndarray:
     """Viterbi over words: the labels of largest total score less ``switch`` per change.
 
-    If no run of words gains more than ``switch`` under another label than the
-    best single one, that label everywhere is optimal, since a detour through k
-    labels pays k switches at least; then the walk is not needed.
+    If no run of words gains more than half of ``switch`` under another label than
+    the best single one, that label everywhere is optimal: a path of k runs under
+    other labels gains k halves at most and pays k - 1 switches or more (a single
+    run over all words gains nothing). Then the walk is not needed.
     """
     n, width = scores.shape
     best = int(np.argmax(scores.sum(0)))
     gain = np.cumsum(scores - scores[:, best : best + 1], axis=0)
     low = np.minimum(np.minimum.accumulate(np.vstack([np.zeros((1, width)), gain[:-1]]), axis=0), gain)
-    if (gain - low).max() <= switch:
+    if (gain - low).max() <= switch / 2:
         return np.full(n, best)
     rows = scores.tolist()  # plain floats: a step is a handful of comparisons
     value, back, own = rows[0], [], range(width)
