@@ -13,6 +13,9 @@ from ..session import scratch_path
 BROADCAST_ROWS = 500_000
 BROADCAST_BYTES = 48 * 1024 * 1024
 
+#: A key with more than one in this many of all rows is hot, so fewer keys than this can be.
+HOT_KEYS = 8192
+
 # ASCII white space that separates words: blank, and tab to carriage return.
 SEPARATORS = r"[\x20\x09-\x0D]+"
 # Characters of the class above, for tests on a single character.
@@ -40,6 +43,22 @@ def small(df: DataFrame) -> DataFrame:
     return maybe_broadcast(df, BROADCAST_ROWS, BROADCAST_BYTES)
 
 
+def join_groups(rows: DataFrame, groups: DataFrame, keys: list[str], how: str = "inner") -> DataFrame:
+    """``rows`` joined with ``groups`` on ``keys`` so that no key overloads a task.
+
+    ``groups`` has one row per key and a column ``n`` with its number of rows,
+    which is dropped. Keys with more than one in ``HOT_KEYS`` of all rows counted are
+    broadcast, whatever the data's size there are fewer than ``HOT_KEYS``, and their
+    rows are not shuffled. The others meet in a shuffle join. ``how`` is inner or
+    left. ``rows`` is evaluated twice, so it should be stored. Keys are not null.
+    """
+    groups = saved(groups, "groups")
+    hot = F.col("n") > F.lit((groups.agg(F.coalesce(F.sum("n"), F.lit(0))).first()[0]) // HOT_KEYS)
+    few = F.broadcast(groups.where(hot).drop("n"))
+    others = rows.join(F.broadcast(groups.where(hot).select(*keys)), keys, "left_anti").join(groups.where(~hot).drop("n"), keys, how)
+    return rows.join(few, keys).unionByName(others)
+
+
 def word_count(text: Column) -> Column:
     """Number of words of ``text``; 0 for null."""
     t = F.coalesce(text, F.lit(""))

@@ -19,7 +19,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import bitmap, in_bitmap, saved
+from .common import bitmap, in_bitmap, join_groups, saved
 from .textwords import chunks, row_bounds, window_hashes, word_hashes, word_spans
 
 #: Words of a removed window.
@@ -98,8 +98,8 @@ def repeated_words(docs: DataFrame, window: int = WINDOW, log_bits: int = LOG_BI
     spark = docs.sparkSession
     lengths = level_lengths(window)
     ids = saved(keyed.select("at", "body", "check", "tag"), "passage-ids")
-    groups = ids.groupBy("body", "check").agg(F.min("at").alias("first"), F.count(F.lit(1)).alias("n")).where("n > 1").drop("n")
-    judged = ids.join(groups, ["body", "check"], "left").withColumn("copy", F.coalesce(F.col("at") > F.col("first"), F.lit(False)))
+    groups = ids.groupBy("body", "check").agg(F.min("at").alias("first"), F.count(F.lit(1)).alias("n")).where("n > 1")
+    judged = join_groups(ids, groups, ["body", "check"], "left").withColumn("copy", F.coalesce(F.col("at") > F.col("first"), F.lit(False)))
     judged = saved(judged.select("at", "body", "tag", "copy"), "passage-copies")
     firsts = spark.sparkContext.broadcast(bitmap(judged.where("not copy"), F.col("tag"), log_bits))
     found: list = []
@@ -144,9 +144,9 @@ def repeated_words(docs: DataFrame, window: int = WINDOW, log_bits: int = LOG_BI
                 columns += [rows.column(c).take(pa.array(of)) for c in ("at", "body")]
                 yield pa.RecordBatch.from_arrays([*columns, pa.array((start - begin[of]).astype(np.int32))], names=["h1", "h2", "at", "body", "start"])
 
-    rows = texts.mapInArrow(windows, "h1 long, h2 long, at long, body long, start int")
-    least = rows.groupBy("h1", "h2").agg(F.min("at").alias("first"), F.max("at").alias("last")).where("first < last").drop("last")
-    later = rows.join(least, ["h1", "h2"]).where("at > first")
+    rows = saved(texts.mapInArrow(windows, "h1 long, h2 long, at long, body long, start int"), "passage-windows")
+    least = rows.groupBy("h1", "h2").agg(F.min("at").alias("first"), F.max("at").alias("last"), F.count(F.lit(1)).alias("n")).where("first < last").drop("last")
+    later = join_groups(rows, least, ["h1", "h2"]).where("at > first")
     starts = later.groupBy("at", "body").agg(F.collect_set("start").alias("starts")).select("at", "body", F.lit(False).alias("whole"), "starts")
     whole = judged.where("copy").select("at", "body", F.lit(True).alias("whole"), F.lit(None).cast("array<int>").alias("starts")).distinct()
     return starts.unionByName(whole)
