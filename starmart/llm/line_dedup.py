@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import saved, small
+from .common import join_groups, saved, small
 
 WINDOW = 3
 
@@ -21,8 +21,8 @@ def repeated_lines(docs: DataFrame, window: int = WINDOW) -> DataFrame:
     occurrence of a key, by doc_id (null last), then text hash, then line,
     stays; every later one covers its lines. Documents are told apart by
     doc_id and text hash (``body``). Counts are pre-aggregated, so a window that
-    a third of all documents hold leaves each task as one row, and the join
-    back has plain shuffled sides, which Spark can split.
+    a third of all documents hold leaves each task as one row; the join back
+    does not shuffle the rows of such windows.
     """
     hashes = docs.select(
         "doc_id",
@@ -46,9 +46,8 @@ def repeated_lines(docs: DataFrame, window: int = WINDOW) -> DataFrame:
         windows.groupBy(*keys)
         .agg(F.min(place).alias("first"), F.count(F.lit(1)).alias("n"))
         .where("n > 1")
-        .drop("n")
     )
-    later = windows.join(first, keys).where(~place.eqNullSafe(F.col("first")))
+    later = join_groups(windows, first, keys).where(~place.eqNullSafe(F.col("first")))
     return later.select("doc_id", "body", F.explode(F.array(*[F.col("line") + k for k in range(window)])).alias("line")).groupBy("doc_id", "body").agg(
         F.collect_set("line").alias("covered")
     )
