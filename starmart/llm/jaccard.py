@@ -22,7 +22,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import bitmap, in_bitmap, saved
+from .common import bitmap, in_bitmap, join_groups, saved
 from .components import connected
 from .textwords import chunks, mix64, row_bounds, window_hashes, word_hashes, word_spans
 
@@ -166,8 +166,9 @@ def block_links(sizes: np.ndarray, held: np.ndarray, flat: np.ndarray, left: np.
 
 
 def jaccard_components(docs: DataFrame, n: int = 5, num: int = 4, den: int = 5, log_bits: int = LOG_BITS) -> DataFrame:
-    """doc_id, n_shingles, component_id, body of every row of ``docs`` (doc_id, text);
-    body is ``xxhash64(text)``.
+    """doc_id, n_shingles, component_id, component, body of every row of ``docs``
+    (doc_id, text); body is ``xxhash64(text)``, component a hash naming the component
+    (components without any doc_id differ in it alone).
 
     Texts are lower-cased (A-Z); a document's set holds its distinct ``n``-word
     shingles, or its whole word sequence if that is shorter. Documents link when
@@ -220,8 +221,8 @@ def jaccard_components(docs: DataFrame, n: int = 5, num: int = 4, den: int = 5,
                 yield pa.RecordBatch.from_arrays([pa.array(node), pa.array(flat.view(np.int64))], names=["node", "g"])
 
     posted = saved(texts.mapInArrow(postings, "node long, g long"), "gram-postings")
-    shared = posted.groupBy("g").agg(F.min("node").alias("low"), F.max("node").alias("high")).where("low < high").drop("high")
-    met = posted.join(shared, "g").where("node != low").select("node", "low").distinct()
+    shared = posted.groupBy("g").agg(F.min("node").alias("low"), F.max("node").alias("high"), F.count(F.lit(1)).alias("n")).where("low < high").drop("high")
+    met = join_groups(posted, shared, ["g"]).where("node != low").select("node", "low").distinct()
     clusters = connected(met.select(F.col("node").alias("u"), F.col("low").alias("v")))
     clusters = saved(clusters.unionByName(clusters.select(F.col("root").alias("node"), "root").distinct()), "gram-clusters")
     members = clusters.join(firsts, "node").select("node", F.col("root").alias("cluster"), "size", "one.tag")
@@ -281,9 +282,11 @@ def jaccard_components(docs: DataFrame, n: int = 5, num: int = 4, den: int = 5,
 
     links = saved(dealt.groupBy("cluster", "x", "y").applyInArrow(multiply, "u long, v long"), "gram-links")
     roots = connected(links)
-    named = sets.select("at", "body", "size", "node").join(roots, "node", "left").withColumn("component", F.coalesce("root", "node"))
-    least = named.where("size > 0").groupBy("component").agg(F.min("at").alias("least"))
-    out = named.join(least, "component", "left").withColumn("first", F.when(F.col("size") > 0, F.col("least")).otherwise(F.col("at")))
+    named = sets.select("at", "body", "size", "node").join(roots, "node", "left").withColumn("component", F.coalesce("root", "node")).drop("node", "root")
+    named = saved(named, "gram-components")
+    filled = named.where("size > 0")
+    least = filled.groupBy("component").agg(F.min("at").alias("first"), F.count(F.lit(1)).alias("n"))
+    out = join_groups(filled, least, ["component"]).unionByName(named.where("size = 0").withColumn("first", F.col("at")))
     return out.select(
-        F.when(F.col("at") != LAST, F.col("at")).alias("doc_id"), F.col("size").alias("n_shingles"), F.when(F.col("first") != LAST, F.col("first")).alias("component_id"), "body"
+        F.when(F.col("at") != LAST, F.col("at")).alias("doc_id"), F.col("size").alias("n_shingles"), F.when(F.col("first") != LAST, F.col("first")).alias("component_id"), "component", "body"
     )

@@ -13,7 +13,7 @@ from .passages import remove_repeats
 
 def op6_ngram_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
-    return jaccard_components(docs, n=4, num=85, den=100).drop("body")
+    return jaccard_components(docs, n=4, num=85, den=100).drop("body", "component")
 
 
 def op7_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
