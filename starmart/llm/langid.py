@@ -31,7 +31,8 @@ UNKNOWN = "und"
 
 # First and last code point of letter ranges, with script number
 # (0 is none, 1 Latin, 2 Greek, 3 Cyrillic, 4 Armenian, 5 Hebrew, 6 Arabic,
-# 7 Indic, 8 Thai and Lao, 9 Georgian, 10 Hangul, 11 Ethiopic, 12 Khmer, 13 kana, 14 Han).
+# 7 Indic, 8 Thai and Lao, 9 Georgian, 10 Hangul, 11 Ethiopic, 12 Khmer, 13 kana, 14 Han;
+# 15 are the letters outside these ranges).
 SCRIPTS = [
     (0x41, 0x5A, 1), (0x61, 0x7A, 1), (0xAA, 0xAA, 1), (0xBA, 0xBA, 1), (0xC0, 0xD6, 1), (0xD8, 0xF6, 1), (0xF8, 0x2AF, 1),
     (0x370, 0x3FF, 2), (0x400, 0x52F, 3), (0x531, 0x587, 4), (0x5D0, 0x5F2, 5), (0x620, 0x6FF, 6), (0x750, 0x77F, 6),
@@ -39,7 +40,7 @@ SCRIPTS = [
     (0x1E00, 0x1EFF, 1), (0x1F00, 0x1FFF, 2), (0x3041, 0x30FF, 13), (0x3130, 0x318F, 10), (0x3400, 0x9FFF, 14), (0xAC00, 0xD7AF, 10),
     (0xF900, 0xFAFF, 14), (0xFF21, 0xFF5A, 1), (0x20000, 0x323AF, 14),
 ]
-N_SCRIPTS = 15
+N_SCRIPTS = 16
 
 
 def code_points(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -58,7 +59,7 @@ def code_points(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.n
 
 
 def scripts_of(cps: np.ndarray) -> np.ndarray:
-    """Script number of each code point; 0 for what is no letter of the ranges."""
+    """Script number of each code point; 0 for what is no letter."""
     first = np.array([a for a, _, _ in SCRIPTS], np.uint32)
     last = np.array([b for _, b, _ in SCRIPTS], np.uint32)
     number = np.array([s for _, _, s in SCRIPTS], np.uint8)
@@ -67,6 +68,9 @@ def scripts_of(cps: np.ndarray) -> np.ndarray:
     rest = np.flatnonzero(cps > 122)
     k = np.searchsorted(first, cps[rest], "right") - 1
     out[rest] = np.where(cps[rest] <= last[k], number[k], 0)
+    rest = rest[out[rest] == 0]
+    kinds, which = np.unique(cps[rest], return_inverse=True)
+    out[rest] = np.array([(N_SCRIPTS - 1) * chr(c).isalpha() for c in kinds.tolist()], np.uint8)[which]
     return out
 
 
