@@ -12,7 +12,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from starmart.llm.common import saved, small, table
+from starmart.llm.common import join_groups, saved, small, table
 from starmart.llm.decontaminate import find_leaks
 from starmart.llm.jaccard import jaccard_components
 from starmart.llm.langid import label_languages
@@ -52,17 +52,17 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
     hash, of equal rows one. Documents without words all stay."""
     docs = docs.select(*COLUMNS)
     found = saved(jaccard_components(docs, n=5, num=4, den=5), "near-duplicates")
-    rows = found.groupBy("doc_id", "body", "component_id").agg(F.count(F.lit(1)).alias("n"), F.max("n_shingles").alias("size"))
-    first = rows.where("size > 0").groupBy("component_id").agg(F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "body")).alias("first"))
-    judged = (
-        rows.join(first.withColumnRenamed("component_id", "of"), F.col("component_id").eqNullSafe(F.col("of")), "left")
-        .withColumn("stays", (F.col("size") == 0) | F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "body").eqNullSafe(F.col("first")))
-        .select(F.col("doc_id").alias("_id"), F.col("body").alias("_body"), "n", "size", "stays")
-    )
-    judged = saved(judged, "near-duplicate-rows")
+    rows = found.groupBy("doc_id", "body", "component").agg(F.count(F.lit(1)).alias("n"), F.max("n_shingles").alias("size"), F.first("component_id").alias("component_id"))
+    rows = saved(rows.withColumn("named", F.col("doc_id").eqNullSafe(F.col("component_id"))), "near-duplicate-rows")
+    # the smallest doc_id names its component; only rows of that doc_id are compared by hash
+    heads = rows.where("size > 0 and named").select("doc_id", "body", "component", F.col("n").alias("rows"))
+    least = heads.groupBy("component").agg(F.min("body").alias("first"), F.count(F.lit(1)).alias("n"))
+    judged = join_groups(heads, least, ["component"]).select("doc_id", "body", F.col("rows").alias("n"), (F.col("body") == F.col("first")).alias("stays"))
+    judged = judged.unionByName(rows.where("size > 0 and not named").select("doc_id", "body", "n", F.lit(False).alias("stays")))
+    judged = saved(judged.withColumnsRenamed({"doc_id": "_id", "body": "_body"}), "near-duplicate-judged")
     same = F.col("doc_id").eqNullSafe(F.col("_id")) & (F.xxhash64("text") == F.col("_body"))
-    out = docs.join(small(judged.where("not stays or (n > 1 and size > 0)")), same, "left_anti")
-    repeated = docs.join(small(judged.where("stays and n > 1 and size > 0")), same, "left_semi")
+    out = docs.join(small(judged.where("not stays or n > 1")), same, "left_anti")
+    repeated = docs.join(small(judged.where("stays and n > 1")), same, "left_semi")
     return out.unionByName(repeated.withColumn("_body", F.xxhash64("text")).dropDuplicates(["doc_id", "_body"]).drop("_body"))
 
 
