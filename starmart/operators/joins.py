@@ -19,10 +19,10 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, BinaryType, DecimalType, MapType, StringType, StructType
 
 # Rows of a key-only or dimension side that may be shipped to every task.
-DEFAULT_MAX_BROADCAST_ROWS = 4_000_000
-# Bytes of such a side as rows in memory (see ``row_bytes``). 512 MB stays far
-# below Spark's 8 GB broadcast limit and leaves room in a default executor.
-DEFAULT_MAX_BROADCAST_BYTES = 512 * 1024 * 1024
+DEFAULT_MAX_BROADCAST_ROWS = 1_000_000
+# Bytes of such a side as rows in memory (see ``row_bytes``). The hash table is
+# about twice that, which a default executor or driver (1 GB heap) holds.
+DEFAULT_MAX_BROADCAST_BYTES = 64 * 1024 * 1024
 
 
 def row_bytes(df: DataFrame) -> Column:
@@ -94,15 +94,17 @@ def anti_join(
 
     A right side proven small is broadcast as it is. A larger one is
     de-duplicated before the sort-merge join: the partial aggregate collapses
-    a hot key in every map task, so no reducer receives its repeats, and the
-    aggregate's hash partitioning on ``keys`` is the one the join needs (no
-    extra exchange).
+    a hot key in every map task, so no reducer receives its repeats. It groups
+    on a hash of the keys as well, so the join puts its own exchange on the
+    distinct keys: both join sides are then plain shuffles, and AQE can split a
+    key that holds a third of the left rows.
     """
     keys = list(keys)
     right = right_keys.select(*keys).where(_all_not_null(keys))
     if fits(right, max_rows):
         return left.join(F.broadcast(right), keys, "left_anti")
-    return left.join(right.distinct(), keys, "left_anti")
+    unique = right.withColumn("_spread", F.xxhash64(*keys)).distinct().drop("_spread")
+    return left.join(unique, keys, "left_anti")
 
 
 def _all_not_null(keys: Sequence[str]):

@@ -71,17 +71,18 @@ def arrivals_vs_rate(fact: DataFrame, states: DataFrame, unemployment: DataFrame
 
     The fact is reduced to (year, month, state code) counts first (partial
     aggregation, so hot states collapse map-side); the joins then touch only
-    small aggregates and dimensions.
+    small aggregates and dimensions, so they are plain: a size probe would compute
+    the roll-up twice, and AQE picks the strategy from real sizes.
     """
     counts = fact.groupBy(
         F.year("arrival_date").alias("year"),
         F.month("arrival_date").alias("month"),
         F.col("address_state_code").alias("abbreviation"),
     ).agg(F.count(F.lit(1)).alias("arrivals"))
-    named = lookup_join(counts, states, "abbreviation", "left")
+    named = counts.join(states, "abbreviation", "left")
     rates = unemployment.select(
         "year", "month", F.col("state").alias("state_name"), "avg_rate"
     )
-    return lookup_join(named, rates, ["year", "month", "state_name"], "left").select(
+    return named.join(rates, ["year", "month", "state_name"], "left").select(
         "year", "month", "abbreviation", "state_name", "arrivals", "avg_rate"
     )

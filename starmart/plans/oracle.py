@@ -1,8 +1,8 @@
 """Oracle SQL for the query contract (DuckDB dialect, tables pre-registered).
 
 Each statement computes the same result as the Spark query of the same name,
-written independently from the table definitions. Averages are an exact decimal
-sum divided once by the count on both sides; DuckDB date parts are cast to
+written independently from the table definitions. Averages are plain averages,
+rounded on both sides; DuckDB date parts are cast to
 INTEGER to match Spark.
 """
 
@@ -156,9 +156,9 @@ unemployment AS (
   FROM (
     SELECT DISTINCT CAST(year(o.o_orderdate) AS INTEGER) AS year,
            CAST(month(o.o_orderdate) AS INTEGER) AS month,
-           {_cap('c.c_mktsegment')} AS state, o.o_orderpriority AS county,
+           {_cap("coalesce(c.c_mktsegment, 'none')")} AS state, o.o_orderpriority AS county,
            round(o.o_totalprice / 10000, 1) AS rate
-    FROM orders o JOIN customer c ON o.o_custkey = c.c_custkey
+    FROM orders o LEFT JOIN customer c ON o.o_custkey = c.c_custkey
   ) d
   GROUP BY year, month, state
 ),
@@ -237,7 +237,7 @@ SELECT c_custkey AS customer_id, c_name AS customer_name, c_nationkey AS nation_
 FROM customer
 """,
     "csv_scan_typed": """
-SELECT p_partkey, p_name, p_brand, p_size, p_retailprice FROM part
+SELECT p_partkey, p_name, p_brand, p_type, p_size, p_retailprice FROM part
 """,
     "label_blocks": """
 SELECT lower(replace(p_brand, '#', '')) AS block, CAST(p_partkey AS VARCHAR) AS code,
@@ -360,7 +360,9 @@ FROM (SELECT l_orderkey, l_linenumber, COUNT(*) AS n FROM lineitem GROUP BY 1, 2
         f"SELECT '{t}' AS table_name, COUNT(*) AS n FROM {t}" for t in _COUNTED
     ),
     "write_roundtrip": """
-SELECT 'orders' AS table_name, COUNT(*) AS written_rows, COUNT(*) AS read_rows, TRUE AS passed
+SELECT 'orders' AS table_name, COUNT(*) AS written_rows, COUNT(*) AS read_rows,
+       CAST(SUM(CAST(o_totalprice AS DECIMAL(18, 2))) AS DOUBLE) AS read_price,
+       CAST(SUM(o_orderkey * (year(o_orderdate) * 12 + month(o_orderdate))) AS BIGINT) AS read_months, TRUE AS passed
 FROM orders
 """,
     "dq_report": "\nUNION ALL\n".join(

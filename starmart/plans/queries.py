@@ -175,6 +175,7 @@ _PART_CSV = StructType(
         StructField("p_partkey", StringType()),
         StructField("p_name", StringType()),
         StructField("p_brand", StringType()),
+        StructField("p_type", StringType()),
         StructField("p_size", StringType()),
         StructField("p_retailprice", StringType()),
     ]
@@ -379,7 +380,7 @@ def arrivals_vs_rate(spark: SparkSession, d: str) -> DataFrame:
     ).agg(F.count(F.lit(1)).alias("arrivals"))
     e = table(spark, d, "events")
     rates = grouped_average(e.select(F.month("ts").alias("month"), "value"), ["month"], "value", "avg_rate")
-    return lookup_join(arrivals, rates, "month", "left").select(
+    return arrivals.join(rates, "month", "left").select(
         "year", "month", "arrivals", _rounded("avg_rate").alias("avg_rate")
     )
 
@@ -432,18 +433,25 @@ def row_counts_q(spark: SparkSession, d: str) -> DataFrame:
 
 
 def write_roundtrip(spark: SparkSession, d: str) -> DataFrame:
-    """Write orders partitioned by year and month, observe the count, read it back."""
+    """Write orders partitioned by year and month, observe the count, read counts and content back."""
     o = _orders(spark, d).withColumns(
         {"order_year": F.year("o_orderdate"), "order_month": F.month("o_orderdate")}
     )
+    o = o.hint("rebalance", "order_year", "order_month")  # few files per month, not tasks x months
     path = scratch_path(spark, "orders-roundtrip")
     metrics = write_parquet_observed(o, path, partition_by=["order_year", "order_month"])
     written = int(metrics["rows"])
-    back = spark.read.parquet(path).agg(F.count(F.lit(1)).alias("read_rows"))
+    back = spark.read.parquet(path).agg(
+        F.count(F.lit(1)).alias("read_rows"),
+        F.sum(F.col("o_totalprice").cast("decimal(18,2)")).cast("double").alias("read_price"),
+        F.sum(F.col("o_orderkey") * (F.col("order_year") * 12 + F.col("order_month"))).alias("read_months"),
+    )
     return back.select(
         F.lit("orders").alias("table_name"),
         F.lit(written).cast("bigint").alias("written_rows"),
         "read_rows",
+        "read_price",
+        "read_months",
         (F.col("read_rows") == F.lit(written)).alias("passed"),
     )
 
@@ -532,10 +540,10 @@ def _star_states(spark: SparkSession, d: str) -> str:
 def _star_rates(spark: SparkSession, d: str) -> str:
     """Rate sheet derived from orders and their customers' segments."""
     orders, customer = table(spark, d, "orders"), table(spark, d, "customer")
-    sheet = orders.join(customer, orders.o_custkey == customer.c_custkey, "inner").select(
+    sheet = orders.join(customer, orders.o_custkey == customer.c_custkey, "left").select(
         F.year("o_orderdate").cast("string").alias("Year"),
         F.date_format("o_orderdate", "MMMM").alias("Month"),
-        _capitalized(F.col("c_mktsegment")).alias("State"),
+        _capitalized(F.coalesce("c_mktsegment", F.lit("none"))).alias("State"),
         F.col("o_orderpriority").alias("County"),
         F.round(F.col("o_totalprice") / 10000, 1).cast("string").alias("Rate"),
     )

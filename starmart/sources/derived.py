@@ -79,6 +79,10 @@ def rate_sheet(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+#: Entries of one derived code-list file, about; a file is read as one row by one task.
+ENTRIES_PER_FILE = 5_000
+
+
 def write_csv(df: DataFrame, path: str) -> str:
     """Write ``df`` as header CSV, every value quoted; one header per file."""
     df.write.mode("errorifexists").option("header", True).option("quoteAll", True).csv(path)
@@ -121,7 +125,8 @@ def write_label_file(
     Rows are range-partitioned on (block, order...), so file ``part-N`` holds
     an ordered slice and the files in name order give the global order a
     last-wins reader relies on. Each file repeats the header of the blocks it
-    holds, so no block has to fit in one task.
+    holds, so no block has to fit in one task. The number of files follows the
+    number of rows (``ENTRIES_PER_FILE``), so no file grows with the data.
     """
     names = [f"_o{i}" for i in range(len(order))]
     lines = df.select(
@@ -129,11 +134,8 @@ def write_label_file(
         F.concat(F.lit("\t"), code.cast("string"), F.lit("\t=\t'"), label.cast("string"), F.lit("'")).alias("line"),
         *[o.alias(n) for o, n in zip(order, names)],
     )
-    ranged = (
-        lines.repartitionByRange(files, "block", *names)
-        if files
-        else lines.repartitionByRange("block", *names)
-    )
+    files = files or max(1, -(-df.count() // ENTRIES_PER_FILE))
+    ranged = lines.repartitionByRange(files, "block", *names)
     framed = ranged.sortWithinPartitions("block", *names).select("block", "line").mapInPandas(
         _frame_blocks, "value string"
     )

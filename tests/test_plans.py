@@ -165,13 +165,50 @@ def test_large_upsert_collapses_a_hot_staging_key_before_the_shuffle(spark):
         right = text.split("LeftAnti")[1]
         # partial aggregate, one exchange, final aggregate on the staging keys
         assert right.count("HashAggregate(keys=[c_custkey") == 2
-        assert right.count("Exchange hashpartitioning(c_custkey") == 2  # one per join side
+        # one per join side for the join, directly below its sort, and one for the aggregate
+        assert right.count("Exchange hashpartitioning(c_custkey") == 3
         assert m.kept.count() == 0
         assert m.result.count() == staging.distinct().count()
     finally:
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
 
 
+def test_large_upsert_splits_a_hot_target_key(spark):
+    from pyspark.sql import functions as F
+
+    small = {
+        "spark.sql.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "20k",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": "10k",
+        "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "1.5",
+    }
+    for k, v in small.items():
+        spark.conf.set(k, v)
+    try:
+        ids = spark.range(0, 60000, 1, 8)
+        target = ids.select(F.when(F.col("id") % 3 > 0, F.lit(7)).otherwise(F.col("id")).alias("k"), F.md5(F.col("id").cast("string")).alias("v"))
+        staging = ids.where("id % 2 = 1").select(F.col("id").alias("k"), F.lit("new").alias("v")).where("k != 7")
+        kept = upsert(target, staging, ["k"], max_broadcast_rows=10).kept
+        assert kept.agg(F.count(F.lit(1))).first()[0] == 40000 + 10000
+        done = kept.select("k", "v")
+        done.collect()
+        assert "skew=true" in done._jdf.queryExecution().executedPlan().toString()
+    finally:
+        for k in small:
+            spark.conf.unset(k)
+
+
+def test_roll_ups_are_joined_without_a_sizing_job(spark, monkeypatch):
+    from starmart.operators import joins
+
+    sized = []
+    real = joins.size_of
+    monkeypatch.setattr(joins, "size_of", lambda df: sized.append(df.columns) or real(df))
+    for name in ("arrivals_vs_rate", "star_arrivals_vs_rate"):
+        Q.QUERIES[name](spark, SF_SMALL)
+    assert not any("avg_rate" in columns for columns in sized)
+
+
 def test_size_counts_wide_decimals_and_nested_values(spark):
     from starmart.operators.joins import size_of
 
