@@ -1,30 +1,35 @@
 """Mixing sources to target weights by a low-discrepancy schedule (DataFrame only).
 
-Golden-ratio points are mapped through the sources' cumulative shares: point i
-decides which source fills slot i of the mix. A source's documents are laid end
-to end in shuffled order and cut into blocks of equal token count; the r-th slot
-of a source takes its block r modulo the number of blocks, so documents repeat
-only after the whole source was used.
+A mix has one slot per word of the corpus. Golden-ratio points are mapped through
+the sources' cumulative shares: point i decides which source fills slot i. A
+source's documents are laid end to end in shuffled order; its r-th slot takes its
+word r modulo its size, so documents repeat only after the whole source was used.
+How many slots a source gets is counted in closed form, whatever their number.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from .common import saved, small, word_count
 
-#: Slots of a mix at most. Fixed, so the schedule does not grow with the corpus.
+#: The SQL of the query joins words to blocks beyond this many; the mix does not.
 SLOTS = 1 << 20
 #: Documents of one source laid out by one task, about.
 LAYOUT_ROWS = 10_000
 GOLDEN = 2654435769  # 2**32 times the golden ratio's fraction
 RANGE = 1 << 32
-CELL_BITS = 20
+#: After RANGE slots the points come again; each round lies elsewhere within a step of 1 / RANGE.
+FINE_BITS = 20
+FINE = 648055  # 2**20 times the golden ratio's fraction
+POINTS = RANGE << FINE_BITS
+CELL_BITS = 40
+PART_BITS = 20
 
 
 def source_targets(sized: DataFrame, weights: tuple[int, ...], max_repeats: int) -> DataFrame:
-    """One row per source: sid, source, source_size, target, blocks' cumulative share.
+    """One row per source: sid, source, source_size, target, and its interval of points, lo to hi.
 
     The total of all sizes is shared by weight (sources by code point, null
     last, take ``weights`` in turn); a target stops at ``max_repeats`` times its
@@ -55,37 +60,81 @@ def source_targets(sized: DataFrame, weights: tuple[int, ...], max_repeats: int)
     )
     running = Window.orderBy("sid").rowsBetween(Window.unboundedPreceding, 0)
     shares = level.withColumn("target", target).withColumn("upto", F.sum("target").over(running))
-    scaled = F.floor(F.col("upto") / F.greatest("all_size", F.lit(1)) * RANGE).cast("long")
+    scaled = F.floor(F.col("upto") / F.greatest("all_size", F.lit(1)) * POINTS).cast("long")
     last = F.max("sid").over(everything)
     return (
-        shares.withColumn("hi", F.when(F.col("sid") == last, F.lit(RANGE)).otherwise(F.least(scaled, F.lit(RANGE))))
+        shares.withColumn("hi", F.when(F.col("sid") == last, F.lit(POINTS)).otherwise(F.least(scaled, F.lit(POINTS))))
         .withColumn("lo", F.coalesce(F.lag("hi").over(Window.orderBy("sid")), F.lit(0)))
         .select("sid", "source", "source_size", "target", "lo", "hi")
     )
 
 
-def schedule(targets: DataFrame, slots: int, block: int, max_repeats: int) -> DataFrame:
-    """Slots (slot, sid, rank, epoch, block_no): which block of which source comes when.
+def _div(x: Column, y: Column) -> Column:
+    return F.call_function("div", x, y)
 
-    Slot i's point is i times the golden ratio, modulo 1. Sources are matched by
-    an equi-join on cells of the unit interval. A source's slots beyond
-    ``max_repeats`` passes stay unused.
+
+def floor_sum(n: int, m: int, a: int, b: Column) -> Column:
+    """Sum of (a * i + b) div m over i from 0 to n - 1, by Euclid's steps (n up to 2**31, a below m up to 2**32)."""
+    names = ("n", "m", "a", "b", "sum")
+    start = F.struct(*[F.lit(v).cast("long").alias(k) for k, v in zip(names, (n, m, a))], b.cast("long").alias("b"), F.lit(0).cast("long").alias("sum"))
+
+    def step(s: Column, _: Column) -> Column:
+        n, m, a, b, done = (s[k] for k in names)
+        last = a % m * n + b % m
+        added = _div(n * (n - 1), F.lit(2)) * _div(a, m) + n * _div(b, m)
+        after = (_div(last, m), a % m, m, last % m, done + added)
+        return F.when(n == 0, s).otherwise(F.struct(*[c.alias(k) for k, c in zip(names, after)]))
+
+    return F.aggregate(F.sequence(F.lit(1), F.lit(64)), start, step, lambda s: s["sum"])
+
+
+def _multiples_below(n: int, m: int, a: int, bound: Column, first: int = 0) -> Column:
+    """How many i below ``n`` have (a * i + first) mod m < ``bound``."""
+    return floor_sum(n, m, a, F.lit(first + m)) - floor_sum(n, m, a, F.lit(first + m) - bound)
+
+
+def points_below(slots: int, bound: Column) -> Column:
+    """How many of the first ``slots`` points (see ``point``) lie below ``bound``."""
+    rounds, rest = divmod(slots, RANGE)
+    coarse, fine = F.shiftright(bound, FINE_BITS), bound % (1 << FINE_BITS)
+    half = RANGE // 2
+    head, tail = min(rest, half), max(rest - half, 0)
+
+    def part(x: Column) -> Column:  # half * GOLDEN is half, modulo RANGE
+        return _multiples_below(head, RANGE, GOLDEN, x) + _multiples_below(tail, RANGE, GOLDEN, x, half)
+
+    whole = F.lit(rounds) * coarse + F.lit(rounds) - _multiples_below(rounds, 1 << FINE_BITS, FINE, F.lit(1 << FINE_BITS) - fine)
+    on = F.lit(rounds * FINE % (1 << FINE_BITS)) + fine >= 1 << FINE_BITS
+    return whole + F.when(on, part(coarse + 1)).otherwise(part(coarse))
+
+
+def point(slot: Column) -> Column:
+    """The point of a slot, below POINTS: golden-ratio steps, in each round of RANGE slots at another fine place."""
+    coarse = F.pmod(slot % RANGE * (GOLDEN - RANGE), F.lit(RANGE))
+    return coarse * (1 << FINE_BITS) + ((1 << FINE_BITS) - 1) - _div(slot, F.lit(RANGE)) * FINE % (1 << FINE_BITS)
+
+
+def schedule(targets: DataFrame, slots: int, max_repeats: int) -> DataFrame:
+    """Slots (slot, sid, rank, epoch, word): which word of which source comes when.
+
+    Sources are matched by an equi-join on cells of the points. Ranks are counted
+    in parts of the slots and the parts' counts are summed, so a source is many
+    tasks. A source's slots beyond ``max_repeats`` passes stay unused.
     """
     spark = targets.sparkSession
-    points = spark.range(slots).select(F.col("id").alias("slot"), (F.col("id") * GOLDEN % RANGE).alias("x"))
+    points = spark.range(slots).select(F.col("id").alias("slot"), F.shiftright("id", PART_BITS).alias("part"), point(F.col("id")).alias("x"))
     points = points.withColumn("cell", F.shiftright("x", CELL_BITS))
     cells = targets.where("lo < hi").withColumn(
         "cell", F.explode(F.sequence(F.shiftright("lo", CELL_BITS), F.shiftright(F.col("hi") - 1, CELL_BITS)))
     )
-    blocks = F.ceil(F.col("source_size") / block).cast("long")
-    ranked = (
-        points.join(small(cells), "cell")
-        .where("x >= lo and x < hi")
-        .withColumn("rank", F.row_number().over(Window.partitionBy("sid").orderBy("slot")).cast("long") - 1)
-        .withColumn("blocks", blocks)
-        .where(F.col("rank") < F.col("blocks") * max_repeats)
-    )
-    return ranked.select("slot", "sid", "rank", F.expr("rank div blocks").alias("epoch"), (F.col("rank") % F.col("blocks")).alias("block_no"))
+    dealt = points.join(small(cells), "cell").where("x >= lo and x < hi").select("slot", "part", "sid", "source_size")
+    counts = dealt.groupBy("sid", "part").agg(F.count(F.lit(1)).alias("n"))
+    before = Window.partitionBy("sid").orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
+    counts = counts.select("sid", "part", F.coalesce(F.sum("n").over(before), F.lit(0)).alias("base"))
+    within = F.row_number().over(Window.partitionBy("sid", "part").orderBy("slot")).cast("long") - 1
+    ranked = dealt.withColumn("inner", within).join(counts, ["sid", "part"]).withColumn("rank", F.col("base") + F.col("inner"))
+    ranked = ranked.where(F.col("rank") < F.col("source_size") * max_repeats)
+    return ranked.select("slot", "sid", "rank", F.expr("rank div source_size").alias("epoch"), F.expr("rank % source_size").alias("word"))
 
 
 def laid_out(sized: DataFrame, targets: DataFrame, rows: int) -> DataFrame:
@@ -98,7 +147,7 @@ def laid_out(sized: DataFrame, targets: DataFrame, rows: int) -> DataFrame:
     digits = max(1, len(f"{max(rows // LAYOUT_ROWS, 1):x}"))
     md5 = F.md5(F.coalesce(F.col("doc_id").cast("string"), F.lit("")))
     keyed = (
-        sized.join(small(targets.select("sid", F.col("source").alias("of"), "source_size", "target")), F.col("source").eqNullSafe(F.col("of")))
+        sized.join(small(targets.withColumnRenamed("source", "of")), F.col("source").eqNullSafe(F.col("of")))
         .drop("of")
         .withColumn("order", md5)
         .withColumn("part", F.substring("order", 1, digits))
@@ -111,43 +160,39 @@ def laid_out(sized: DataFrame, targets: DataFrame, rows: int) -> DataFrame:
         keyed.withColumn("inner", F.coalesce(F.sum("size").over(within), F.lit(0)))
         .join(small(saved(parts, "mix-parts")), ["sid", "part"])
         .withColumn("start", F.col("base") + F.col("inner"))
-        .select("doc_id", "size", "sid", "source_size", "target", "start")
+        .select("doc_id", "size", "source", "source_size", "target", "used", "start")
     )
 
 
-def mix(docs: DataFrame, weights: tuple[int, ...] = (5, 2, 1), max_repeats: int = 3, slots: int = SLOTS) -> DataFrame:
+def with_use(targets: DataFrame, slots: int, max_repeats: int) -> DataFrame:
+    """``targets`` and ``used``: how many words of the source the first ``slots`` slots take."""
+    got = points_below(slots, F.col("hi")) - points_below(slots, F.col("lo"))
+    return targets.withColumn("used", F.least(got, F.col("source_size") * max_repeats))
+
+
+def mix(docs: DataFrame, weights: tuple[int, ...] = (5, 2, 1), max_repeats: int = 3) -> DataFrame:
     """doc_id, size, source, source_size, target, taken of every row of ``docs``
     (doc_id, text, source; other columns are ignored).
 
     ``size`` counts words. ``taken`` is how many words of the row the mix takes,
     repeats counted: never more than ``max_repeats`` times its size. A source's
-    taken words differ from its target by a few blocks; a block is the total
-    over ``slots``, at least one word.
+    taken words differ from its target by a few words, however large the corpus.
 
     Null or empty texts have size 0 and take 0. A null source is a source of its
     own, the last. Null doc_ids are laid out like any value. Rows repeated in
     doc_id, source and text are separate documents. An empty table gives an
     empty result.
     """
-    sized = saved(docs.select("doc_id", "source", word_count(F.col("text")).alias("size")), "mix-sizes")
+    return mix_sized(docs.select("doc_id", "source", word_count(F.col("text")).alias("size")), weights, max_repeats)
+
+
+def mix_sized(sized: DataFrame, weights: tuple[int, ...], max_repeats: int) -> DataFrame:
+    """``mix`` of rows whose size is known (doc_id, source, size)."""
+    sized = saved(sized, "mix-sizes")
     total, rows = sized.agg(F.coalesce(F.sum("size"), F.lit(0)), F.count(F.lit(1))).first()
-    block = max(1, -(-total // slots))
-    targets = saved(source_targets(sized, weights, max_repeats), "mix-targets")
-    placed = saved(laid_out(sized, targets, rows), "mix-layout")
-    use = schedule(targets, -(-total // block), block, max_repeats).groupBy("sid", "block_no").agg(F.count(F.lit(1)).alias("times"))
-    filled = placed.where("size > 0")
-    pieces = filled.withColumn("block_no", F.explode(F.sequence(F.expr(f"start div {block}"), F.expr(f"(start + size - 1) div {block}")))).withColumn(
-        "words", F.least(F.col("start") + F.col("size"), (F.col("block_no") + 1) * block) - F.greatest(F.col("start"), F.col("block_no") * block)
-    )
-    taken = (
-        pieces.join(use, ["sid", "block_no"], "left")
-        .groupBy("sid", "start")
-        .agg(
-            *[F.first(c).alias(c) for c in ("doc_id", "size", "source_size", "target")],
-            F.sum(F.col("words") * F.coalesce("times", F.lit(0))).alias("taken"),
-        )
-        .select("doc_id", "size", "source_size", "target", "taken", "sid")
-    )
-    empty = placed.where("size = 0").select("doc_id", "size", "source_size", "target", F.lit(0).cast("long").alias("taken"), "sid")
-    names = small(targets.select("sid", "source"))
-    return taken.unionByName(empty).join(names, "sid").select("doc_id", "size", "source", "source_size", "target", "taken")
+    targets = saved(with_use(source_targets(sized, weights, max_repeats), total, max_repeats), "mix-targets")
+    placed = laid_out(sized, targets, rows)
+    # a source's slots cover whole passes and then its leading words
+    size = F.greatest("source_size", F.lit(1))
+    lead = F.least(F.col("size"), F.greatest(F.lit(0), F.col("used") % size - F.col("start")))
+    return placed.withColumn("taken", _div(F.col("used"), size) * F.col("size") + lead).select("doc_id", "size", "source", "source_size", "target", "taken")

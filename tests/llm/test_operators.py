@@ -15,6 +15,7 @@ from starmart.llm import fingerprints as fp
 from starmart.llm import langid, quality
 from starmart.llm.jaccard import jaccard_components
 from starmart.llm.line_dedup import dedup_lines
+from starmart.llm import mixing
 from starmart.llm.mixing import mix
 from starmart.llm.passages import remove_repeats
 from starmart.llm.secrets import RULES, find_secrets, span_text
@@ -172,6 +173,41 @@ def test_mix_reaches_targets_and_caps_repeats(spark, docs, none):
     assert mix(none).count() == 0
 
 
+def test_mix_counts_equal_the_schedule(spark):
+    sized = spark.createDataFrame([(k, f"s{k % 7}", 5 + k * k % 97) for k in range(60)], "doc_id long, source string, size long")
+    total = sized.agg(F.sum("size")).first()[0]
+    targets = mixing.with_use(mixing.source_targets(sized, (5, 2, 1), 3), total, 3)
+    slots = mixing.schedule(targets, total, 3).collect()
+    by = {}
+    for r in sorted(slots):
+        by.setdefault(r.sid, []).append((r.rank, r.epoch, r.word))
+    for r in targets.collect():
+        assert by[r.sid] == [(k, k // r.source_size, k % r.source_size) for k in range(r.used)]
+
+
+def test_points_below_equals_counting(spark, monkeypatch):
+    for bits, golden in ((32, mixing.GOLDEN), (10, 633)):  # with 2**10 points a round, rounds and rests are counted too
+        monkeypatch.setattr(mixing, "RANGE", 1 << bits)
+        monkeypatch.setattr(mixing, "GOLDEN", golden)
+        for slots in (0, 1, 1000, 4096, 70007):
+            points = spark.range(slots).select(mixing.point(F.col("id")).alias("x")).toPandas()["x"].to_numpy()
+            top = 1 << (bits + mixing.FINE_BITS)
+            bounds = [0, 1, top // 3, top // 2, top - 1, top, *(points[:20] + 1), *points[-20:]]
+            frame = spark.createDataFrame([(int(b),) for b in bounds], "b long").select("b", mixing.points_below(slots, F.col("b")).alias("n"))
+            assert [r.n for r in frame.collect()] == [int((points < r.b).sum()) for r in frame.collect()]
+
+
+@pytest.mark.parametrize("big", [10**7, 10**10, 10**13])
+def test_mix_meets_the_targets_of_small_sources(spark, big):
+    # 1,000 words in documents of 10, 500 words and 7 words, beside a source of many words
+    rows = [(k, "c", big // 100) for k in range(100)] + [(1000 + k, "a", 10) for k in range(100)] + [(2000, "b", 500), (2001, None, 7)]
+    got = mixing.mix_sized(spark.createDataFrame(rows, "doc_id long, source string, size long"), (5, 2, 1), 3).collect()
+    taken = {s: sum(r.taken for r in got if r.source == s) for s in ("a", "b", None)}
+    assert all(r.taken <= 3 * r.size for r in got)
+    assert {r.source: r.target for r in got if r.source != "c"} == {"a": 3000, "b": 1500, None: 21}
+    assert abs(taken["a"] - 3000) <= 10 and abs(taken["b"] - 1500) <= 10 and abs(taken[None] - 21) <= 10
+
+
 # --- secrets -------------------------------------------------------------------
 
 
