@@ -19,10 +19,11 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType, StructField, StructType
 
+from .common import saved, small
 from .textwords import chunks, row_bounds, word_hashes, word_spans
 
-#: Rows of each kind (positive, unlabelled) that the fit sees at most, about:
-#: chosen by hash of doc_id with the share bound / rows.
+#: Distinct rows of each kind (positive, unlabelled) that the fit sees at most, about:
+#: chosen by hash of doc_id and text with the share bound / distinct rows.
 FIT_ROWS = 20_000
 #: Repeats of a word are looked for at these distances.
 REPEATS = (1, 2, 3, 4, 6, 8)
@@ -128,35 +129,43 @@ def fit(positive: np.ndarray, unlabelled: np.ndarray, steps: int = 400, decay: f
 
 
 def featured(docs: DataFrame) -> DataFrame:
-    """The sample's features: (positive, x). ``docs``: positive boolean, text."""
+    """The sample's features: (positive, hash, x). ``docs``: positive boolean, hash, text."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for rows, data, offsets in chunks(batch, "text"):
                 x = features(data, offsets)
-                yield pa.RecordBatch.from_arrays([rows.column("positive"), pa.array(list(x), pa.list_(pa.float32()))], names=["positive", "x"])
+                yield pa.RecordBatch.from_arrays([rows.column("positive"), rows.column("hash"), pa.array(list(x), pa.list_(pa.float32()))], names=["positive", "hash", "x"])
 
-    return docs.select("positive", "text").mapInArrow(run, "positive boolean, x array<float>")
+    return docs.select("positive", "hash", "text").mapInArrow(run, "positive boolean, hash long, x array<float>")
+
+
+def chosen(rows: DataFrame, distinct: int, fit_rows: int) -> DataFrame:
+    """About ``fit_rows`` of the ``distinct`` rows (doc_id, hash, text), each once."""
+    if distinct > fit_rows:
+        bound = max(1, (fit_rows << 63) // distinct)
+        rows = rows.where(F.col("hash").bitwiseAND(F.lit((1 << 63) - 1)) < bound)
+    return rows.distinct()
 
 
 def train(docs: DataFrame, positives: DataFrame, trainable: Column, fit_rows: int = FIT_ROWS) -> Model:
-    """Fit on about ``fit_rows`` of ``positives`` (doc_id) and as many documents of
-    any or no label, both only from rows that are ``trainable``. Only the
-    features of that bounded sample reach the driver."""
-    pool = docs.where(trainable).select("doc_id", "text")
-    known = positives.select("doc_id").distinct()
-
-    def part(rows: DataFrame, n: int) -> DataFrame:
-        share = min(1.0, fit_rows / max(n, 1))
-        return rows.where(F.pmod(F.xxhash64("doc_id"), F.lit(1 << 20)) < int(share * (1 << 20)))
-
-    wanted = part(known, known.count())
-    trusted = pool.join(wanted, "doc_id", "left_semi").select(F.lit(True).alias("positive"), "text")
-    plain = part(pool, pool.count()).select(F.lit(False).alias("positive"), "text")
-    got = featured(trusted.unionByName(plain)).toArrow()
+    """Fit on about ``fit_rows`` of the rows of ``positives`` (doc_id) and as many rows
+    of any or no label, both only from rows that are ``trainable``. Rows equal in
+    doc_id and text count once; of a doc_id with many texts a share is taken, as of
+    all others. Only the features of that bounded sample reach the driver."""
+    pool = docs.where(trainable).select("doc_id", F.xxhash64("doc_id", "text").alias("hash"), "text")
+    known = small(saved(positives.select("doc_id").where("doc_id is not null").distinct(), "quality-known"))
+    keys = saved(pool.select("doc_id", "hash").distinct(), "quality-keys")
+
+    trusted = chosen(pool, keys.join(known, "doc_id", "left_semi").count(), fit_rows).join(known, "doc_id", "left_semi")
+    plain = chosen(pool, keys.count(), fit_rows)
+    sample = trusted.withColumn("positive", F.lit(True)).unionByName(plain.withColumn("positive", F.lit(False)))
+    got = featured(sample).toArrow()
     width = CLASSES * CLASSES + 3 + len(REPEATS)
     x = got.column("x").combine_chunks().flatten().to_numpy(zero_copy_only=False).reshape(-1, width).astype(np.float64)
     flag = got.column("positive").to_numpy(zero_copy_only=False).astype(bool)
+    order = np.argsort(got.column("hash").to_numpy(), kind="stable")  # the fit does not depend on the order of arrival
+    x, flag = x[order], flag[order]
     return fit(x[flag], x[~flag])
 
 

@@ -128,6 +128,21 @@ def test_classifier_learns_style_from_positives_and_unlabelled(spark):
     assert quality.score(docs.limit(0), model).count() == 0
 
 
+def test_fit_sample_is_bounded_whatever_the_ids(spark, monkeypatch):
+    # 1,000 rows without an id, 1,000 of one labelled id, 1,000 copies of one row, 1,000 others
+    rows = [(None, f"null {k}") for k in range(1000)] + [(5, f"hot {k}") for k in range(1000)] + [(7, "copy")] * 1000 + [(10 + k, f"t {k}") for k in range(1000)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    positives = spark.createDataFrame([(5,), (7,), (None,)], "doc_id long")
+    monkeypatch.setattr(quality, "fit", lambda positive, unlabelled: (len(positive), len(unlabelled)))
+    for trained in (100, 500):
+        found = quality.train(docs, positives, F.lit(True), trained)
+        assert all(0.6 * trained < n < 1.4 * trained for n in found), found
+    assert quality.train(docs, positives, F.lit(True)) == (1001, 3001)
+    few = docs.select("doc_id", F.xxhash64("doc_id", "text").alias("hash"), "text")
+    assert 0 < quality.chosen(few, 10**14, 10**13).count() < 1000  # no rounding to an empty share on large tables
+    assert quality.chosen(few.withColumn("hash", F.lit(7).cast("long")), 10**14, 20_000).count() > 0
+
+
 # --- URL rules -----------------------------------------------------------------
 
 
