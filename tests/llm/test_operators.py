@@ -341,6 +341,28 @@ def test_infix_distance_and_recall():
     assert met >= 195
 
 
+@pytest.mark.parametrize("size", [5, 9, 12, 24, 60, 100])
+def test_leaks_at_the_largest_distance_are_found(size):
+    # windows as they are placed: shifted by the edits before the q-gram, inside other text
+    rng = random.Random(size)
+    word = lambda: "".join(rng.choices(LETTERS, k=9))
+    items, texts = [], []
+    for k in range(250):
+        item = [word() for _ in range(size)]
+        other = list(item)
+        for _ in range(int(0.2 * size)):
+            p, what = rng.randrange(len(other)), rng.randrange(3)
+            other[p : p + (what != 1)] = [word()] * (what != 2)
+        items.append((k, " ".join(item)))
+        texts.append(" ".join([word() for _ in range(30)] + other + [word() for _ in range(30)]).encode())
+    offsets = np.cumsum([0] + [len(t) for t in texts])
+    data = np.frombuffer(b"".join(texts), np.uint8)
+    row, start, end = word_spans(data, offsets, letters_only=True)
+    got = dec.leaks_of(word_hashes(data, start, end, lower=True), row, len(texts), dec.prepared(items, 0.2, dec.tables_for()))
+    assert all(set(found) == {k} for k, found in got.items())
+    assert len(got) >= 0.99 * len(texts)
+
+
 # --- passages ------------------------------------------------------------------
 
 
