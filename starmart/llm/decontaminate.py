@@ -188,8 +188,9 @@ def find_leaks(docs: DataFrame, benchmark: DataFrame, max_edit: float = MAX_EDIT
     """``docs`` plus ``leaks``: array of (item_id, distance, item_words, first_word),
     one per leaked item, by item_id (a column of that name is replaced).
 
-    Words are runs of ASCII letters, digits and non-ASCII characters, A-Z
-    lower-cased, so punctuation, case and spacing do not matter. ``distance``
+    Words are runs of letters and digits, A-Z lower-cased, so punctuation, spacing
+    and ASCII case do not matter; each character of a script written without
+    blanks (Chinese, Japanese, Thai and the like) is a word. ``distance``
     counts words; it is the least found. Items of under 1 / ``max_edit`` words must
     stand unchanged. Every leak is found with probability ``recall`` at the largest
     distance, more below; an unchanged one always. No clean document is flagged:

@@ -9,6 +9,7 @@ bytes, so memory does not follow the Arrow batch size.
 
 from __future__ import annotations
 
+import unicodedata
 from collections.abc import Iterator
 
 import numpy as np
@@ -56,15 +57,62 @@ def word_bytes(letters_only: bool = False) -> np.ndarray:
     return table
 
 
+#: Scripts written without blanks: Thai, Lao; Myanmar; Khmer; Tai scripts; kana, Bopomofo, Han; Yi; Han.
+UNSPACED = (
+    (0x0E00, 0x0EFF), (0x1000, 0x109F), (0x1780, 0x17FF), (0x1950, 0x19FF), (0x1A20, 0x1AAF), (0x3005, 0x3007), (0x3021, 0x312F),
+    (0x31A0, 0x31BF), (0x31F0, 0x31FF), (0x3400, 0x4DBF), (0x4E00, 0xA4CF), (0xA9E0, 0xA9FF), (0xAA60, 0xAADF), (0xF900, 0xFAFF),
+    (0xFF66, 0xFF9F), (0x16FE0, 0x18DFF), (0x1AFF0, 0x1B2FF), (0x20000, 0x3FFFF),
+)
+
+
+def character_kinds() -> tuple[np.ndarray, np.ndarray]:
+    """Runs of code points (first, kind). Kind 0 parts words (punctuation, symbols,
+    spaces, controls), 1 is part of a word, 2 is a word."""
+    kinds = np.ones(0x110000, np.uint8)
+    for first, last in UNSPACED:
+        kinds[first : last + 1] = 2
+    for cp in range(0x20000):  # further planes hold no marks
+        if unicodedata.category(chr(cp)) in ("Pc", "Pd", "Ps", "Pe", "Pi", "Pf", "Po", "Sm", "Sc", "Sk", "So", "Zs", "Zl", "Zp", "Cc") or cp == 0x200B:
+            kinds[cp] = 0
+    first = np.flatnonzero(np.diff(kinds, prepend=np.uint8(255)))
+    return first, kinds[first]
+
+
+#: Travels to the workers with the functions that use it; short, so any task can look it up.
+KINDS = character_kinds()
+
+
+def characters(data: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(place, bytes, kind) of the non-ASCII characters."""
+    at = np.flatnonzero(data >= 0xC0)
+    lead = data[at].astype(np.int64)
+    size = 2 + (lead >= 0xE0) + (lead >= 0xF0)
+    cp = lead & np.array([0, 0, 0x1F, 0x0F, 0x07])[size]
+    for k in (1, 2, 3):
+        more = size > k
+        cp[more] = cp[more] << 6 | (data[np.minimum(at[more] + k, len(data) - 1)] & 0x3F)
+    return at, size, KINDS[1][np.searchsorted(KINDS[0], cp, "right") - 1]
+
+
 def word_spans(data: np.ndarray, offsets: np.ndarray, letters_only: bool = False) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """(row, start, end) of every word of the chunk, in order."""
+    """(row, start, end) of every word of the chunk, in order. With ``letters_only``
+    other scripts' punctuation, symbols and spaces part words as ASCII's do, and a
+    character of a script written without blanks is a word."""
     word = word_bytes(letters_only)[data]
+    cuts = np.zeros(0, np.int64)
+    if letters_only:
+        at, size, kind = characters(data)
+        for k in range(4):
+            word[at[(size > k) & (kind == 0)] + k] = False
+        alone = kind == 2
+        cuts = np.concatenate([at[alone], (at + size)[alone]])
     if not len(word):
         return (np.zeros(0, np.int64),) * 3
     first, last = word.copy(), word.copy()
     first[1:] &= ~word[:-1]
     last[:-1] &= ~word[1:]
-    inner = offsets[(offsets > 0) & (offsets < len(word))]
+    inner = np.concatenate([offsets, cuts])
+    inner = inner[(inner > 0) & (inner < len(word))]
     first[inner] = word[inner]
     last[inner - 1] = word[inner - 1]
     start, end = np.flatnonzero(first), np.flatnonzero(last) + 1

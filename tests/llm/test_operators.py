@@ -323,6 +323,17 @@ def test_leaks_with_edits_are_found_and_verified(spark, none):
     assert dec.find_leaks(none, bench).count() == 0
 
 
+def test_leaks_in_other_scripts_and_punctuation(spark):
+    items = [(1, "床前明月光，疑是地上霜。"), (2, "ฉันรักประเทศไทย"), (3, "it's a well-known fact – really"), (4, "das größte Haus")]
+    texts = ["昨天我讀到床前明月光疑是地上霜這兩句詩", "และฉันรักประเทศไทยมาก", "x “It’s a\u00a0well-known fact—really” y", "x das größte\u3000Haus… y", "床前明月", "das größte-haus-x kein größteHaus"]
+    docs = spark.createDataFrame(list(enumerate(texts, 1)), "doc_id long, text string")
+    got = dec.find_leaks(docs, spark.createDataFrame(items, "item_id long, text string")).select("doc_id", F.explode("leaks").alias("leak"))
+    assert {(r.doc_id, r.leak.item_id, r.leak.distance) for r in got.collect()} == {(1, 1, 0), (2, 2, 0), (3, 3, 0), (4, 4, 0), (6, 4, 0)}
+    data = "aé—b漢字c".encode()
+    _, start, end = word_spans(np.frombuffer(data, np.uint8), np.array([0, len(data)]), letters_only=True)
+    assert [data[a:b].decode() for a, b in zip(start, end)] == ["aé", "b", "漢", "字", "c"]
+
+
 def test_infix_distance_and_recall():
     a = np.arange(1, 11).astype(np.uint64)
     text = np.concatenate([np.full(5, 99), [1, 2, 3, 77, 5, 6, 8, 9, 10], np.full(4, 98)]).astype(np.uint64)
