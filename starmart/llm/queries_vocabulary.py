@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from .common import table
 from .packing import pack_documents
 from .phrases import collocations
+from .variants import spelling_variants
 
 
 def read_vocabulary(path: str | None = None) -> str:
@@ -59,5 +60,44 @@ ranked AS (SELECT *, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a
 SELECT lang, rank, phrase, a, l, r, total.n, score FROM ranked JOIN total USING (lang) WHERE rank <= 2000
 """
 
-QUERIES = {"op11_packing": op11_packing, "op12_phrases": op12_phrases}
-ORACLE_SQL = {"op12_phrases": OP12_SQL}
+def op13_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spelling_variants(table(spark, sf_dir, "documents")).select("word", "form", "root", "n", "n_near", "form_n")
+
+
+#: crc32 is spelled out: a table of 256 remainders, then one step per byte.
+OP13_SQL = r"""
+WITH RECURSIVE steps AS (
+  SELECT list(list_reduce([x, 0, 0, 0, 0, 0, 0, 0, 0]::BIGINT[],
+              lambda c, y: CASE WHEN c & 1 = 1 THEN xor(3988292384, c >> 1) ELSE c >> 1 END) ORDER BY x) AS step
+  FROM range(256) AS r(x)),
+runs AS (
+  SELECT coalesce(doc_id::VARCHAR, '') AS id, translate(run, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS run
+  FROM (SELECT doc_id, unnest(regexp_extract_all(coalesce(text, ''), '[A-Za-z\x{00C0}-\x{00FF}]{7,}')) AS run FROM documents)),
+bytes AS (
+  SELECT run, count(*) AS n, flatten(list_transform(string_split(id || ':' || run, ''), lambda c:
+    CASE WHEN unicode(c) < 128 THEN [unicode(c)] ELSE [192 + (unicode(c) >> 6), 128 + (unicode(c) & 63)] END))::BIGINT[] AS b
+  FROM runs GROUP BY id, run),
+hashed AS (
+  SELECT run, n, xor(4294967295, list_reduce([4294967295::BIGINT] || b, lambda c, y: xor(c >> 8, step[(xor(c, y) & 255) + 1]))) AS h FROM bytes, steps),
+spelled AS (
+  SELECT CASE WHEN h % 31 = 0 THEN left(run, (h % length(run))::INT) || substr(run, (h % length(run))::INT + 2) ELSE run END AS word, n FROM hashed),
+words AS (SELECT word, sum(n)::BIGINT AS n FROM spelled WHERE length(word) >= 7 GROUP BY word HAVING sum(n) >= 2),
+places AS (SELECT word, n, unnest(range(1, length(word) + 1)) AS i FROM words),
+cut AS (SELECT word, n, i, left(word, (i - 1)::INT) || substr(word, i + 1) AS less FROM places),
+pairs AS (
+  SELECT a.word, b.word AS near, b.n FROM cut a JOIN cut b ON a.i = b.i AND a.less = b.less AND a.word <> b.word
+  UNION SELECT a.word, b.word, b.n FROM words a JOIN cut b ON a.word = b.less
+  UNION SELECT b.word, a.word, a.n FROM words a JOIN cut b ON a.word = b.less),
+best AS (
+  SELECT word, count(*) AS n_near, first(near ORDER BY n DESC, near) AS near, max(n) AS near_n FROM pairs GROUP BY word),
+forms AS (
+  SELECT w.word, CASE WHEN near_n >= 10 * n THEN near END AS form, n, coalesce(n_near, 0)::BIGINT AS n_near,
+         CASE WHEN near_n >= 10 * n THEN near_n END AS form_n FROM words w LEFT JOIN best USING (word)),
+chain AS (
+  SELECT word, word AS root, form AS up FROM forms
+  UNION ALL SELECT chain.word, forms.word, forms.form FROM chain JOIN forms ON forms.word = chain.up)
+SELECT forms.word, forms.form, chain.root, forms.n, forms.n_near, forms.form_n FROM forms JOIN chain ON chain.word = forms.word AND chain.up IS NULL
+"""
+
+QUERIES = {"op11_packing": op11_packing, "op12_phrases": op12_phrases, "op13_variants": op13_variants}
+ORACLE_SQL = {"op12_phrases": OP12_SQL, "op13_variants": OP13_SQL}
