@@ -13,7 +13,7 @@ from __future__ import annotations
 from collections.abc import Sequence
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
@@ -135,6 +135,13 @@ def write_parquet_observed(
     return dict(obs.get)
 
 
+def content_checksum(columns: Sequence[str]) -> Column:
+    """Aggregate ``content``: a checksum of a bag of rows that no order and no
+    partitioning changes (the exact sum of row hashes). A changed, lost or repeated
+    row changes it."""
+    return F.sum(F.xxhash64(*columns).cast("decimal(28,0)")).alias("content")
+
+
 def read_back(
     spark: SparkSession, table_name: str, path: str, written_rows: int, schema: StructType | None = None
 ) -> WriteCheck:

@@ -40,7 +40,7 @@ SELECT
 FROM orders o LEFT JOIN customer c ON o.o_custkey = c.c_custkey
 """
 
-_FACT = f"""
+FACT_SQL = f"""
 SELECT
   TRY_CAST(trunc(cicid) AS BIGINT) AS immigration_id,
   TRY_CAST(trunc(i94cit) AS INTEGER) AS country_of_birth,
@@ -144,7 +144,7 @@ def _cap(c: str) -> str:
 
 
 _STAR = f"""
-WITH f AS ({_FACT}),
+WITH f AS ({FACT_SQL}),
 origin AS (SELECT n_nationkey AS country_code, n_name AS country_name FROM nation),
 states AS (
   SELECT DISTINCT {_cap('c_mktsegment')} AS state_name, c_mktsegment AS abbreviation
@@ -369,8 +369,8 @@ FROM orders
         f"SELECT *, failures = 0 AS passed FROM ({_profile(t, k)}) p{i}"
         for i, (t, k) in enumerate(_REPORTED.items())
     ),
-    "staging_load": _FACT,
-    "fact_build": _FACT,
+    "staging_load": FACT_SQL,
+    "fact_build": FACT_SQL,
     "origin_build": """
 SELECT n_nationkey AS country_code, n_name AS country_name FROM nation
 """,

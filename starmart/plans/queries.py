@@ -30,6 +30,7 @@ from starmart.operators.quality import (
 from starmart.plans.marts import arrivals_lookup, top_n
 from starmart.plans.marts import arrivals_vs_rate as mart_arrivals_vs_rate
 from starmart.plans.publish import TableStore
+from starmart.plans.queries_store import STORE_QUERIES
 from starmart.plans.stages import build_star_files, load_star_files
 from starmart.plans.tables import (
     build_fact,
@@ -584,10 +585,9 @@ def star_load(spark: SparkSession, d: str) -> DataFrame:
     )
     store = TableStore(spark, f"{root}/published")
     load_star_files(spark, store, run.files)
-    published = store.all_published_versions()
-    out = None
+    state, out = store.state(), None
     for spec in REGISTRY.values():
-        current = store.current(spec, versions=published.get(spec.name, []))
+        current = store.current(spec, state=state)
         prof = key_profile(current, spec.keys).select(
             F.lit(spec.name).alias("table_name"), "rows", "null_key_rows", "duplicate_keys"
         )
@@ -630,4 +630,5 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "analyst_lookup_top10": analyst_lookup_top10,
     "star_arrivals_vs_rate": star_arrivals_vs_rate,
     "star_load": star_load,
+    **STORE_QUERIES,
 }

@@ -4,19 +4,21 @@ Stage 1 (``build_star_files``): raw files -> fact and dimension Parquet files
 of one run, each write observed (row count, conversion rejects) and read back.
 
 Stage 2 (``load_star_files``): the run's star files are loaded as staging
-frames under the table contracts, merged into the published tables (fact
-insert-only, dimensions type-1), written as new unpublished versions, checked
-(read-back count, null keys, duplicate keys), and only when every table passes
-are the versions published. Load order: fact, states, origin, unemployment.
+frames under the table contracts, rows with null keys set apart, merged into the
+published tables (fact insert-only, dimensions type-1), written as new unpublished
+versions, checked (read-back count and content, null keys, duplicate keys), and only
+when every table passes are the versions published, in one commit. Load order: fact, states, origin, unemployment.
 """
 
 from __future__ import annotations
 
+import uuid
 from dataclasses import dataclass, field
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from starmart.operators.merge import insert_only, upsert
 from starmart.operators.quality import WriteCheck, read_back, write_parquet_observed
 from starmart.plans.publish import StagedWrite, TableStore, stored_columns
 from starmart.plans.tables import (
@@ -32,7 +34,7 @@ from starmart.plans.tables import (
 )
 from starmart.schemas import FACT, ORIGIN, REGISTRY, STATES, UNEMPLOYMENT
 from starmart.sources.readers import read_parquet
-from starmart.sources.staging import load_staging
+from starmart.sources.staging import read_staging, split_rejects
 
 
 class CheckFailed(RuntimeError):
@@ -102,48 +104,60 @@ def build_star_files(
 class LoadResult:
     staged: dict[str, StagedWrite]
     published: bool
+    rejected: dict[str, int] = field(default_factory=dict)
+    rejects_path: str | None = None
 
     def report_rows(self) -> list[tuple]:
         """(table_name, version, rows, null_key_rows, duplicate_keys, passed) per table."""
         return [
-            (s.spec.name, s.version, s.written_rows, s.null_key_rows, s.duplicate_keys, not s.problems)
+            (s.spec.name, s.version, s.written_rows, s.null_key_rows + self.rejected.get(s.spec.name, 0), s.duplicate_keys, not s.problems)
             for s in self.staged.values()
         ]
 
 
-def merge_table(
-    store: TableStore, name: str, staging: DataFrame, versions: list[int] | None = None
-) -> DataFrame:
-    """What the new version of ``name`` must hold: the fact's new rows only
-    (appended as a batch), a dimension's whole merged content."""
-    spec = REGISTRY[name]
-    target = store.current(spec, versions=versions)
-    if spec.insert_only:
-        return insert_only(target, staging, spec.keys).inserted
-    return upsert(target, staging, spec.keys).result
+def write_rejects(spark: SparkSession, store: TableStore, rejects: list[DataFrame]) -> tuple[str | None, dict[str, list]]:
+    """The rejected rows of all tables, written beside the published ones, with
+    (reason, rows, one row) per table for the report. One job over all tables."""
+    path = f"{store.root}/_rejects/run={uuid.uuid4().hex}"
+    rows = reduce(DataFrame.unionByName, rejects)
+    if write_parquet_observed(rows, path)["rows"] == 0:
+        return None, {}
+    found = spark.read.parquet(path).groupBy("table_name", "reason").agg(F.count(F.lit(1)).alias("n"), F.min("row").alias("row"))
+    out: dict[str, list] = {}
+    for r in found.collect():  # one row per table and set of null key columns
+        out.setdefault(r.table_name, []).append((r.reason, r.n, r.row))
+    return path, out
 
 
 def load_star_files(
-    spark: SparkSession, store: TableStore, files: StarFiles, raise_on_failure: bool = True
+    spark: SparkSession,
+    store: TableStore,
+    files: StarFiles,
+    raise_on_failure: bool = True,
+    set_rejects_aside: bool = False,
 ) -> LoadResult:
     """Stage 2: merge one run's star files into the published tables.
 
-    Each table's new version is written and checked first; the markers that
-    publish them are written only when every table passed.
+    Rows with a null key are written to a reject table; they stop the load unless
+    ``set_rejects_aside``. Each table's new version is written and checked first, so the
+    error names what is wrong in every table; the commit that publishes them is made only
+    when every table passed, and only if no other run published meanwhile.
     """
+    state = store.state()
+    split = {name: split_rejects(read_staging(spark, files.path(name), spec), spec) for name, spec in REGISTRY.items()}
+    path, rejected = write_rejects(spark, store, [rejects for _, rejects in split.values()])
     staged: dict[str, StagedWrite] = {}
-    published = store.all_published_versions()
-    for name in REGISTRY:  # fact, states, origin, unemployment
-        spec = REGISTRY[name]
-        staging = load_staging(spark, files.path(name), spec)
-        versions = published.get(name, [])
-        new = merge_table(store, name, staging, versions)
-        next_version = (versions[-1] + 1) if versions else 1
-        staged[name] = store.stage(spec, new, next_version, published=versions)
-    failed = {n: s.problems for n, s in staged.items() if s.problems}
+    for name, spec in REGISTRY.items():  # fact, states, origin, unemployment
+        stage = store.stage_insert if spec.insert_only else store.stage_upsert
+        staged[name] = stage(spec, split[name][0], state)
+    failed = {n: list(s.problems) for n, s in staged.items() if s.problems}
+    if not set_rejects_aside:
+        for name, reasons in rejected.items():
+            failed.setdefault(name, []).extend(f"{n} rows with {reason}, such as {row}" for reason, n, row in sorted(reasons))
+    result = LoadResult(staged, not failed, {name: sum(n for _, n, _ in r) for name, r in rejected.items()}, path)
     if failed:
         if raise_on_failure:
             raise CheckFailed(f"checks failed, nothing published: {failed}")
-        return LoadResult(staged, published=False)
+        return result
     store.publish(*staged.values())
-    return LoadResult(staged, published=True)
+    return result

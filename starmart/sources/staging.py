@@ -9,6 +9,8 @@ Staging frames are per run: nothing accumulates between runs.
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -48,6 +50,11 @@ def load_staging(spark: SparkSession, path: str | list[str], spec: TableSpec) ->
     ``ContractError`` at once. Values are cast to the declared types, and a
     null key raises when the frame is evaluated.
     """
+    return enforce_contract(read_staging(spark, path, spec), spec)
+
+
+def read_staging(spark: SparkSession, path: str | list[str], spec: TableSpec) -> DataFrame:
+    """``path`` as stored, after the check of columns and types (``ContractError``)."""
     paths = [path] if isinstance(path, str) else list(path)
     try:
         raw = spark.read.parquet(*paths)
@@ -67,7 +74,23 @@ def load_staging(spark: SparkSession, path: str | list[str], spec: TableSpec) ->
             )
     if problems:
         raise ContractError(f"{spec.name}: " + "; ".join(problems))
-    return enforce_contract(raw, spec)
+    return raw
+
+
+def split_rejects(raw: DataFrame, spec: TableSpec) -> tuple[DataFrame, DataFrame]:
+    """(rows with all keys, rejects) of a staging frame, in declared columns and types.
+
+    Rejects are (table_name, reason, row), the row as JSON text. Their predicate is
+    on stored key columns, so a scan for rejects skips every row group whose
+    statistics hold no null there.
+    """
+    typed = raw.select(*(F.col(f.name).cast(f.dataType).alias(f.name) for f in spec.schema.fields))
+    missing = [F.when(F.col(k).isNull(), F.lit(k)) for k in spec.keys]
+    bad = reduce(lambda a, b: a | b, [F.col(k).isNull() for k in spec.keys])
+    reason = F.concat(F.lit("NULL in key column "), F.concat_ws(", ", *missing))
+    row = F.to_json(F.struct(*spec.schema.fieldNames()), {"ignoreNullFields": "false"})
+    rejects = typed.where(bad).select(F.lit(spec.name).alias("table_name"), reason.alias("reason"), row.alias("row"))
+    return typed.where(~bad), rejects
 
 
 def enforce_contract(df: DataFrame, spec: TableSpec) -> DataFrame:

@@ -4,10 +4,10 @@ Raw arrival files land month by month (or day by day) in one folder. A file
 stream picks up only files it has not seen (tracked in the checkpoint), and
 each micro-batch goes through the same path as a batch run: the fact
 projection, the staging contract, the insert-only merge against the published
-fact, the checks, and the marker that publishes the new batch.
+fact, the checks, and the commit that publishes the new batch.
 
-Replays are safe: a micro-batch that failed before its marker was written is
-rewritten into the same unpublished version; one that failed after is merged
+Replays are safe: a micro-batch that failed before its commit is staged
+again; one that failed after is merged
 again against a fact that already holds its keys, so it inserts nothing.
 ``trigger(availableNow=True)`` drains what has landed and stops, which makes
 the stream a scheduled job; a processing-time trigger keeps it running.
@@ -18,7 +18,6 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.streaming import StreamingQuery
 
-from starmart.operators.merge import insert_only
 from starmart.plans.publish import TableStore
 from starmart.plans.stages import CheckFailed
 from starmart.plans.tables import fact_columns
@@ -28,18 +27,13 @@ from starmart.sources.staging import enforce_contract
 
 def merge_fact_batch(store: TableStore, batch: DataFrame) -> int | None:
     """Merge one batch of fact rows; returns the published version (None if empty)."""
-    staging = enforce_contract(batch, FACT)
-    versions = store.published_versions(FACT)
-    target = store.current(FACT, versions=versions)
-    new = insert_only(target, staging, FACT.keys).inserted
-    version = (versions[-1] + 1) if versions else 1
-    staged = store.stage(FACT, new, version, published=versions)
+    staged = store.stage_insert(FACT, enforce_contract(batch, FACT), store.state())
     if staged.problems:
-        raise CheckFailed(f"fact batch {version}: {staged.problems}")
+        raise CheckFailed(f"fact batch {staged.version}: {staged.problems}")
     if staged.written_rows == 0:
         return None
     store.publish(staged)
-    return version
+    return staged.version
 
 
 def start_fact_increments(

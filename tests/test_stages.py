@@ -109,6 +109,26 @@ def test_stage2_null_key_violates_staging_contract(spark, workdir):
     assert store.published_versions(FACT) == []
 
 
+def test_null_keys_of_two_tables_are_named_together(spark, workdir):
+    rows = raw_fact_rows() + raw_fact_edge_rows()[3:]
+    raw, labels, states, rates = _raw_inputs(spark, workdir, rows, RATES_CSV)
+    files = build_star_files(spark, raw, labels, states, rates, f"{workdir}/run1").files
+    store = TableStore(spark, f"{workdir}/published")
+    with pytest.raises(CheckFailed) as failed:
+        load_star_files(spark, store, files)
+    text = str(failed.value)
+    assert "1 rows with NULL in key column immigration_id" in text and '"flight_number":"00005"' in text
+    assert "1 rows with NULL in key column month" in text and '"avg_rate":7.5' in text
+    assert store.state().number == 0
+
+    aside = load_star_files(spark, store, files, set_rejects_aside=True)
+    assert aside.published and aside.rejected == {"fact_immigration": 1, "dimension_unemployment": 1}
+    assert spark.read.parquet(aside.rejects_path).count() == 2
+    assert sorted(r.immigration_id for r in store.current(FACT).collect()) == [1, 2, 3, 4]
+    assert store.current(UNEMPLOYMENT).where("month is null").count() == 0
+    assert {r[0]: r[3] for r in aside.report_rows()}["fact_immigration"] == 1
+
+
 def test_published_version_cannot_be_overwritten(spark, workdir):
     raw, labels, states, rates = _raw_inputs(spark, workdir, raw_fact_rows())
     files = build_star_files(spark, raw, labels, states, rates, f"{workdir}/run1").files
@@ -139,16 +159,16 @@ def test_command_line_runs_both_stages_and_checks(spark, workdir, capsys):
     assert '"published": true' in capsys.readouterr().out
 
 
-def test_one_marker_file_publishes_all_tables_of_a_run(spark, workdir):
+def test_one_commit_file_publishes_all_tables_of_a_run(spark, workdir):
     import glob
 
     raw, labels, states, rates = _raw_inputs(spark, workdir, raw_fact_rows())
     files = build_star_files(spark, raw, labels, states, rates, f"{workdir}/run1").files
     store = TableStore(spark, f"{workdir}/published")
     load_star_files(spark, store, files)
-    markers = glob.glob(f"{workdir}/published/_published/*/*.parquet")
-    assert len(markers) == 1
-    assert spark.read.parquet(markers[0]).count() == 4
+    commits = glob.glob(f"{workdir}/published/_commits/*")
+    assert len(commits) == 1
+    assert set(store.state().versions) == {"fact_immigration", "dimension_states", "dimension_origin", "dimension_unemployment"}
 
 
 def test_csv_columns_are_matched_by_header_name(spark, workdir):
