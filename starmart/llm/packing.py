@@ -75,9 +75,20 @@ class Encoder:
         known = self.known
         if len(known) > KNOWN_WORDS:
             known.clear()
-        out = [known.get(w) for w in stretches]
-        fresh = [i for i, ids in enumerate(out) if ids is None]
-        for i, code in zip(fresh, self.tokenizer.encode_batch_fast([stretches[i].decode() for i in fresh], add_special_tokens=False)):
+        out = list(map(known.get, stretches))
+        whole, tokenize = [], self.tokenizer.model.tokenize
+        for i, ids in enumerate(out):
+            if ids is None:
+                stretch = stretches[i]
+                blank = stretch[:1] == b" "
+                if stretch[blank:].isalpha():  # ASCII letters: one word of the pattern, a blank is spelled as below
+                    text = "\u0120" + stretch[1:].decode() if blank else stretch.decode()
+                    out[i] = ids = array("I", [token.id for token in tokenize(text)]).tobytes()
+                    if len(stretch) <= KNOWN_BYTES:
+                        known[stretch] = ids
+                else:
+                    whole.append(i)
+        for i, code in zip(whole, self.tokenizer.encode_batch_fast([stretches[i].decode() for i in whole], add_special_tokens=False)):
             out[i] = ids = array("I", code.ids).tobytes()
             if len(stretches[i]) <= KNOWN_BYTES:
                 known[stretches[i]] = ids
