@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import random
+import re
+
 import pytest
 
 from starmart.plans.tables import build_origin
@@ -71,3 +74,58 @@ def test_first_block_of_a_name_wins_within_a_file(spark, workdir):
     text = "value dup\r\n 1 = 'first'\r\n;\r\nvalue dup\r\n 1 = 'second'\r\n 2 = 'x' ;\r\n"
     path = write_text(workdir, "dup.SAS", text)
     assert _as_dict(code_list(spark, path, "dup")) == {"1": "first"}
+
+
+def plain_blocks(text):
+    """What a reader of one whole file finds: block, code and label of the last line of a code."""
+    text, found, out = text.replace("\t", ""), set(), {}
+    for body in re.findall(r"(?m)^[ ]*value[ ]+\$?(\w+[^;]*);", text):
+        name = re.match(r"\w+", body)[0]
+        if name in found:
+            continue
+        found.add(name)
+        for line in body.split("\n")[1:]:
+            parts = line.replace("'", "").split("=")
+            if len(parts) == 2:
+                out[name, parts[0].strip()] = parts[1].strip()
+    return {(name, code, label) for (name, code), label in out.items()}
+
+
+def random_labels(rng, lines):
+    """Blocks of any length, with the hard lines: doubled apostrophes, two ``=``, a
+    second block of a name, headers inside a block, marks on lines of their own."""
+    out = []
+    for _ in range(lines):
+        name, code = f"blk{rng.randrange(8)}", rng.randrange(50)
+        out.append(
+            rng.choice(
+                [f" {code} = 'L{rng.randrange(99)}'"] * 12
+                + [f"value {name}", f"  value ${name} ", f" value {name} extra = text", ";", f" {code} = 'end' ;", f"value {name} ;", f" {code} = 'INT''L, X'",
+                   f" {code} = 'a' = 'b'", "", "no entry", f" '{code}'\t=\t' padded  ' ; value gone", f"valued {name}", f" {code} = ''"]
+            )
+        )
+    return "\r\n".join(out) + rng.choice(["", ";", "\r\n"])
+
+
+def test_files_are_split_inside_blocks(spark, workdir):
+    rng, want = random.Random(3), {}
+    for k, lines in enumerate((5, 60, 1500, 700)):
+        text = random_labels(rng, lines)
+        write_text(workdir, f"f{k}.SAS", text)
+        want[f"f{k}.SAS"] = plain_blocks(text)
+    before = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    try:
+        for size in ("300", "4000", before):
+            spark.conf.set("spark.sql.files.maxPartitionBytes", size)
+            spark.conf.set("spark.sql.files.openCostInBytes", "100")
+            assert spark.read.text(workdir).rdd.getNumPartitions() > (50 if size == "300" else 0)
+            for name, found in want.items():
+                assert {tuple(r) for r in label_blocks(spark, f"{workdir}/{name}").collect()} == found, (size, name)
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", before)
+        spark.conf.unset("spark.sql.files.openCostInBytes")
+
+
+def test_a_block_without_an_end_is_none(spark, workdir):
+    path = write_text(workdir, "open.SAS", "value done\r\n 1 = 'a' ;\r\nvalue open\r\n 2 = 'b'\r\nvalue done\r\n 3 = 'c'\r\n")
+    assert {tuple(r) for r in label_blocks(spark, path).collect()} == {("done", "1", "a")}
