@@ -12,6 +12,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from starmart.operators.joins import lookup_join
+from starmart.plans.publish import StagedWrite, TableStore
+from starmart.schemas import ARRIVALS
 
 
 def arrivals_lookup(
@@ -74,11 +76,20 @@ def arrivals_vs_rate(fact: DataFrame, states: DataFrame, unemployment: DataFrame
     small aggregates and dimensions, so they are plain: a size probe would compute
     the roll-up twice, and AQE picks the strategy from real sizes.
     """
-    counts = fact.groupBy(
+    return counts_vs_rate(monthly_arrivals(fact), states, unemployment)
+
+
+def monthly_arrivals(fact: DataFrame) -> DataFrame:
+    """year, month, abbreviation, arrivals of fact rows (partial counts in the map tasks)."""
+    return fact.groupBy(
         F.year("arrival_date").alias("year"),
         F.month("arrival_date").alias("month"),
         F.col("address_state_code").alias("abbreviation"),
     ).agg(F.count(F.lit(1)).alias("arrivals"))
+
+
+def counts_vs_rate(counts: DataFrame, states: DataFrame, unemployment: DataFrame) -> DataFrame:
+    """Monthly arrivals, from the fact or from the maintained mart, beside the rates."""
     named = counts.join(states, "abbreviation", "left")
     rates = unemployment.select(
         "year", "month", F.col("state").alias("state_name"), "avg_rate"
@@ -86,3 +97,24 @@ def arrivals_vs_rate(fact: DataFrame, states: DataFrame, unemployment: DataFrame
     return named.join(rates, ["year", "month", "state_name"], "left").select(
         "year", "month", "abbreviation", "state_name", "arrivals", "avg_rate"
     )
+
+
+def stage_arrivals(store: TableStore, fact: StagedWrite) -> StagedWrite:
+    """The monthly mart with a staged fact batch added, to be published with the batch.
+
+    Only the batch is read, never the published fact: its counts are added to the rows
+    of the mart they fall on, and only key buckets that hold such a row are written. As
+    batch and mart become visible in one commit, the mart always equals a recount.
+    """
+    counts = monthly_arrivals(store.read_units(fact.spec, fact.units))
+    key = F.concat_ws("|", *(F.coalesce(F.col(c).cast("string"), F.lit("")) for c in ("year", "month")), F.coalesce(F.concat(F.lit("="), "abbreviation"), F.lit("")))
+    delta = counts.withColumn("cell", key)
+    old = store.current(ARRIVALS, state=fact.base).select("cell", F.col("arrivals").alias("_before"))
+    total = F.coalesce("_before", F.lit(0).cast("long")) + F.col("arrivals")
+    added = delta.join(old, "cell", "left").select("cell", "year", "month", "abbreviation", total.alias("arrivals"))
+    return store.stage_upsert(ARRIVALS, added, fact.base)
+
+
+def published_arrivals(store: TableStore) -> DataFrame:
+    """year, month, abbreviation, arrivals of the maintained mart."""
+    return store.current(ARRIVALS).drop("cell")

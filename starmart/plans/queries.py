@@ -551,11 +551,19 @@ def _star_rates(spark: SparkSession, d: str) -> str:
     return write_csv(sheet, scratch_path(spark, "star-rates"))
 
 
+def _stored(df: DataFrame, name: str) -> DataFrame:
+    """A dimension written once, as a published one is: sizing and joining it reads
+    its files and does not build it again."""
+    path = scratch_path(df.sparkSession, name)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
 def analyst_lookup(spark: SparkSession, d: str) -> DataFrame:
     """The analyst example on the built star: origin in two roles, states, birth filter."""
     fact = build_fact(raw_arrivals(spark, d))
-    origin = build_origin(spark, _star_labels(spark, d))
-    states = build_states(spark, _star_states(spark, d))
+    origin = _stored(build_origin(spark, _star_labels(spark, d)), "star-origin")
+    states = _stored(build_states(spark, _star_states(spark, d)), "star-dim-states")
     return arrivals_lookup(fact, origin, states, LOOKUP_NATION)
 
 

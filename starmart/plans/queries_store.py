@@ -3,6 +3,8 @@
 ``star_reload`` runs both stages twice, the second run overlapping the first in
 every table, and returns the published content. ``upsert_by_buckets`` and
 ``fact_compaction`` do the same for one dimension and for many small fact batches.
+``mart_maintained`` adds fact batches to the monthly mart, and ``rate_merge`` averages
+rates from the stored states of several sheets.
 """
 
 from __future__ import annotations
@@ -13,13 +15,15 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType, IntegerType, LongType, StringType, StructField, StructType
 
-from starmart.plans.oracle import FACT_SQL
+from starmart.plans.marts import published_arrivals, stage_arrivals
+from starmart.plans.oracle import FACT_SQL, ORACLE_SQL
 from starmart.plans.publish import TableStore
 from starmart.plans.stages import build_star_files, load_star_files
-from starmart.plans.tables import build_fact
-from starmart.schemas import FACT, ORIGIN, REGISTRY, STATES, TableSpec
+from starmart.plans.tables import build_fact, merge_rate_states, rate_state, rates_of
+from starmart.schemas import FACT, ORIGIN, REGISTRY, STATES, UNEMPLOYMENT_CSV_SCHEMA, TableSpec
 from starmart.session import scratch_path
-from starmart.sources.derived import raw_arrivals, table, write_csv, write_label_file
+from starmart.sources.derived import rate_sheet, raw_arrivals, table, write_csv, write_label_file
+from starmart.sources.readers import read_csv
 
 # Fixed parameters of the two runs (every row of a table is in one run or in both).
 FIRST_RUN_END = "1999-01-01"     # run 1 holds arrivals and rates before this date
@@ -145,6 +149,28 @@ def fact_compaction(spark: SparkSession, d: str) -> DataFrame:
     return store.current(FACT, state=state)
 
 
+def mart_maintained(spark: SparkSession, d: str) -> DataFrame:
+    """The monthly mart after two overlapping fact batches, the second only added to it."""
+    store = TableStore(spark, scratch_path(spark, "mart-maintained"), bucket_rows=BUCKET_ROWS)
+    for run in (1, 2):
+        staged = store.stage_insert(FACT, build_fact(raw_arrivals(spark, d)).where(_in_run(F.col("arrival_date"), run)), store.state())
+        store.publish(staged, stage_arrivals(store, staged))
+    return published_arrivals(store)
+
+
+def rate_merge(spark: SparkSession, d: str) -> DataFrame:
+    """Averages from the stored states of three rate sheets; the sheets are read once each."""
+    sheet, states = rate_sheet(spark, d), []
+    for k in range(3):
+        mine = sheet.where(F.pmod(F.xxhash64(*sheet.columns), F.lit(3)) == k)
+        raw = read_csv(spark, write_csv(mine, scratch_path(spark, "rate-sheet")), UNEMPLOYMENT_CSV_SCHEMA)
+        path = scratch_path(spark, "rate-state")
+        rate_state(raw).write.parquet(path)
+        states.append(spark.read.parquet(path))
+    rates = rates_of(merge_rate_states(states))
+    return rates.withColumn("avg_rate", F.round(F.col("avg_rate") + 1e-8, 6))
+
+
 def _text(columns: list[str], table_name: str, source: str) -> str:
     cells = ", ".join(f"coalesce(CAST({c} AS VARCHAR), '~')" for c in columns)
     return f"SELECT '{table_name}' AS table_name, concat_ws('|', {cells}) AS content FROM {source}"
@@ -189,6 +215,18 @@ SELECT c_custkey, CASE WHEN c_custkey = (SELECT max(c_custkey) FROM customer) TH
 FROM customer
 """,
     "fact_compaction": FACT_SQL,
+    "mart_maintained": f"""
+SELECT CAST(year(arrival_date) AS INTEGER) AS year, CAST(month(arrival_date) AS INTEGER) AS month,
+       address_state_code AS abbreviation, COUNT(*) AS arrivals
+FROM ({FACT_SQL}) f GROUP BY ALL
+""",
+    "rate_merge": ORACLE_SQL["rate_rollup"],
 }
 
-STORE_QUERIES = {"star_reload": star_reload, "upsert_by_buckets": upsert_by_buckets, "fact_compaction": fact_compaction}
+STORE_QUERIES = {
+    "star_reload": star_reload,
+    "upsert_by_buckets": upsert_by_buckets,
+    "fact_compaction": fact_compaction,
+    "mart_maintained": mart_maintained,
+    "rate_merge": rate_merge,
+}

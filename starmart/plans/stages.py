@@ -20,6 +20,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from starmart.operators.quality import WriteCheck, read_back, write_parquet_observed
+from starmart.plans.marts import stage_arrivals
 from starmart.plans.publish import StagedWrite, TableStore, stored_columns
 from starmart.plans.tables import (
     REJECT_FLAGS,
@@ -32,7 +33,7 @@ from starmart.plans.tables import (
     require_raw_columns,
     with_arrival_partition,
 )
-from starmart.schemas import FACT, ORIGIN, REGISTRY, STATES, UNEMPLOYMENT
+from starmart.schemas import ARRIVALS, FACT, ORIGIN, REGISTRY, STATES, UNEMPLOYMENT
 from starmart.sources.readers import read_parquet
 from starmart.sources.staging import read_staging, split_rejects
 
@@ -135,13 +136,15 @@ def load_star_files(
     files: StarFiles,
     raise_on_failure: bool = True,
     set_rejects_aside: bool = False,
+    maintain_mart: bool = False,
 ) -> LoadResult:
     """Stage 2: merge one run's star files into the published tables.
 
     Rows with a null key are written to a reject table; they stop the load unless
     ``set_rejects_aside``. Each table's new version is written and checked first, so the
     error names what is wrong in every table; the commit that publishes them is made only
-    when every table passed, and only if no other run published meanwhile.
+    when every table passed, and only if no other run published meanwhile. With
+    ``maintain_mart`` the monthly mart takes the new fact batch in, in the same commit.
     """
     state = store.state()
     split = {name: split_rejects(read_staging(spark, files.path(name), spec), spec) for name, spec in REGISTRY.items()}
@@ -150,6 +153,8 @@ def load_star_files(
     for name, spec in REGISTRY.items():  # fact, states, origin, unemployment
         stage = store.stage_insert if spec.insert_only else store.stage_upsert
         staged[name] = stage(spec, split[name][0], state)
+    if maintain_mart:
+        staged[ARRIVALS.name] = stage_arrivals(store, staged[FACT.name])
     failed = {n: list(s.problems) for n, s in staged.items() if s.problems}
     if not set_rejects_aside:
         for name, reasons in rejected.items():

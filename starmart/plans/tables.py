@@ -13,7 +13,8 @@ from pyspark.sql import functions as F
 
 from starmart.functions.casts import integral, rename_columns
 from starmart.functions.dates import compact_date, epoch_day_to_date, month_name_to_number
-from starmart.operators.dedup import distinct_rows, grouped_average
+from starmart.operators.dedup import distinct_rows
+from starmart.operators.exact import average_of, average_state, merge_states
 from starmart.schemas import (
     BIGINT_COLUMNS,
     COUNTRY_BLOCK,
@@ -24,6 +25,7 @@ from starmart.schemas import (
     STATES_CSV_SCHEMA,
     STATES_RENAMES,
     STAY_DATE_PATTERN,
+    UNEMPLOYMENT,
     UNEMPLOYMENT_CSV_SCHEMA,
 )
 from starmart.sources.labels import code_list
@@ -161,10 +163,24 @@ def type_rates(raw: DataFrame) -> DataFrame:
     )
 
 
+def rate_state(raw: DataFrame) -> DataFrame:
+    """State of the averages of a rate sheet's typed, de-duplicated county rows. States of
+    sheets that share no row can be merged (``merge_rate_states``) without a reread."""
+    return average_state(distinct_rows(type_rates(raw)), UNEMPLOYMENT.keys, "rate")
+
+
+def merge_rate_states(states: list[DataFrame]) -> DataFrame:
+    return merge_states(states, UNEMPLOYMENT.keys)
+
+
+def rates_of(state: DataFrame) -> DataFrame:
+    """``dimension_unemployment`` of a state: the same bits whatever the order of rows."""
+    return average_of(state, UNEMPLOYMENT.keys, "avg_rate")
+
+
 def build_unemployment_from_raw(raw: DataFrame) -> DataFrame:
     """Typed, de-duplicated county rows averaged per (year, month, state)."""
-    typed = distinct_rows(type_rates(raw))
-    return grouped_average(typed, ["year", "month", "state"], "rate", "avg_rate")
+    return rates_of(rate_state(raw))
 
 
 def build_unemployment(spark: SparkSession, csv_paths: str | list[str]) -> DataFrame:

@@ -181,6 +181,22 @@ UNEMPLOYMENT = TableSpec(
     "dimension_unemployment", UNEMPLOYMENT_SCHEMA, ("year", "month", "state")
 )
 
+# Monthly arrivals per state code, kept beside the fact. ``cell`` names year, month and code
+# (any of them may be null, a key column may not).
+ARRIVALS = TableSpec(
+    "mart_arrivals",
+    StructType(
+        [
+            StructField("cell", StringType()),
+            StructField("year", IntegerType()),
+            StructField("month", IntegerType()),
+            StructField("abbreviation", StringType()),
+            StructField("arrivals", LongType()),
+        ]
+    ),
+    ("cell",),
+)
+
 # Load order of the merge step: fact, states, origin, unemployment.
 REGISTRY: dict[str, TableSpec] = {
     t.name: t for t in (FACT, STATES, ORIGIN, UNEMPLOYMENT)

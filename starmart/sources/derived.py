@@ -79,7 +79,7 @@ def rate_sheet(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-#: Entries of one derived code-list file, about; a file is read as one row by one task.
+#: Entries of one derived code-list file, about.
 ENTRIES_PER_FILE = 5_000
 
 
@@ -95,7 +95,7 @@ def _frame_blocks(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
     Rows arrive sorted by block within the partition; the header is folded into
     the first line of a run so the output keeps one row per input row.
     """
-    current = None
+    current = first = None
     for pdf in batches:
         if pdf.empty:
             continue
@@ -105,10 +105,10 @@ def _frame_blocks(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         header = "value " + pdf["block"] + "\r\n\t/* " + pdf["block"] + " = code = label */\r\n"
         closing = pd.Series(np.where(prev == None, "", ";\r\n\r\n"), index=pdf.index)  # noqa: E711
         prefix = (closing + header).where(starts, "")
-        current = blocks[-1]
+        current, first = blocks[-1], blocks[0] if first is None else first
         yield pd.DataFrame({"value": prefix + pdf["line"]})
     if current is not None:
-        yield pd.DataFrame({"value": [";"]})
+        yield pd.DataFrame({"value": [f";\r\n\r\nvalue {first}\r\n\t1\t=\t'a second block is not read' ;"]})
 
 
 def write_label_file(
@@ -126,12 +126,17 @@ def write_label_file(
     an ordered slice and the files in name order give the global order a
     last-wins reader relies on. Each file repeats the header of the blocks it
     holds, so no block has to fit in one task. The number of files follows the
-    number of rows (``ENTRIES_PER_FILE``), so no file grows with the data.
+    number of rows (``ENTRIES_PER_FILE``), so no file grows with the data. Every file
+    ends with a second block of its first name, which readers leave out.
     """
     names = [f"_o{i}" for i in range(len(order))]
+    # some labels end in a doubled apostrophe, which vanishes, and some lines are followed by one with two marks
+    text, some = code.cast("string"), F.pmod(F.xxhash64(code.cast("string")), F.lit(5))
+    quoted = F.concat(F.lit("\t=\t'"), label.cast("string"), F.when(some == 0, F.lit("''")).otherwise(""), F.lit("'"))
+    second = F.when(some == 1, F.concat(F.lit("\r\n\t"), text, F.lit(" = 'not' = 'read'"))).otherwise("")
     lines = df.select(
         block.cast("string").alias("block"),
-        F.concat(F.lit("\t"), code.cast("string"), F.lit("\t=\t'"), label.cast("string"), F.lit("'")).alias("line"),
+        F.concat(F.lit("\t"), text, quoted, second).alias("line"),
         *[o.alias(n) for o, n in zip(order, names)],
     )
     files = files or max(1, -(-df.count() // ENTRIES_PER_FILE))

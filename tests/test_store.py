@@ -292,3 +292,27 @@ def test_a_changed_cell_with_equal_counts_is_caught(spark, workdir, monkeypatch)
     staged = TableStore(spark, f"{workdir}/store").stage(CUSTOMERS, a, 1)
     assert staged.written_rows == staged.read_rows == 3
     assert staged.problems == ["rows read back differ from the rows written"]
+
+
+# -- the maintained mart -------------------------------------------------------
+
+
+def test_mart_equals_a_recount_and_reads_only_the_batch(spark, workdir, monkeypatch):
+    from starmart.plans import marts
+    from starmart.schemas import ARRIVALS
+
+    store = TableStore(spark, f"{workdir}/store", bucket_rows=4)
+    states = F.element_at(F.array(F.lit("NY"), F.lit("CA"), F.lit(None), F.lit("")), (F.col("immigration_id") % 4 + 1).cast("int"))
+    read = []
+    plain = marts.monthly_arrivals
+    monkeypatch.setattr(marts, "monthly_arrivals", lambda fact: read.append(fact.inputFiles()) or plain(fact))
+    for lo, hi in ((0, 120), (90, 200), (150, 160), (0, 260)):
+        state = store.state()
+        fact = store.stage_insert(FACT, facts(spark, range(lo, hi)).withColumn("address_state_code", states), state)
+        mart = marts.stage_arrivals(store, fact)
+        assert not fact.problems and not mart.problems
+        store.publish(fact, mart)
+        want = sorted(map(str, plain(store.current(FACT)).collect()))
+        assert sorted(map(str, marts.published_arrivals(store).collect())) == want
+    assert len({f.split("/batch=")[1].split("/")[0] for f in read[1]}) == 1  # the second batch alone
+    assert read[2] == [] and store.state().versions[ARRIVALS.name] == [1, 2, 3, 4]
