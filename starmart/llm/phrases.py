@@ -34,6 +34,8 @@ from .textwords import MULTIPLIER, chunks, mix64, word_hashes
 SHARD_BYTES = 6 << 20
 #: A bitmap has 16 bits per frequent entry, but at most 2**MOST_BITS bits (16 MB).
 MOST_BITS = 27
+#: Parts in which a lang's phrases are ranked before all together.
+RANK_PARTS = 32
 
 # What parts pieces, and what parts words besides.
 PIECE_MARKS = b".,;:!?\n\x0b\x0c\r"
@@ -255,6 +257,9 @@ def collocations(docs: DataFrame, least: int = 30, longest: int = 4, share: tupl
     score = F.expr(f"(2000000 * {wide('a')}) div ({wide('l')} + {wide('r')})")
     best = cuts.withColumn("score", score).groupBy("lang", "phrase").agg(F.first("a").alias("a"), F.min(F.struct("score", "k", "l", "r")).alias("cut"))
     best = saved(best.select("lang", "phrase", "a", "cut.l", "cut.r", "cut.score"), "phrase-scores")
-    order = Window.partitionBy("lang").orderBy(F.desc("score"), F.desc("a"), F.asc("phrase"))
-    ranked = best.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= top)
-    return ranked.join(small(words), "lang").select("lang", F.col("rank").cast("long").alias("rank"), "phrase", "a", "l", "r", "n", "score")
+    # ranked in parts first, so that a lang's last task reads at most RANK_PARTS * top rows
+    order = [F.desc("score"), F.desc("a"), F.asc("phrase")]
+    best = best.withColumn("part", F.pmod(F.xxhash64("phrase"), F.lit(RANK_PARTS)))
+    for keys in (["lang", "part"], ["lang"]):
+        best = best.withColumn("rank", F.row_number().over(Window.partitionBy(*keys).orderBy(*order))).where(F.col("rank") <= top)
+    return best.join(small(words), "lang").select("lang", F.col("rank").cast("long").alias("rank"), "phrase", "a", "l", "r", "n", "score")
