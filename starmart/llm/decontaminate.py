@@ -14,7 +14,7 @@ at most k. Windows are laid where such a q-gram of an item stands in the text;
 other windows cannot be leaks.
 
 Benchmarks go to the tasks in blocks of bounded bytes, one pass over the documents
-per block; documents are neither shuffled nor joined.
+per block, each written before the next; documents are neither shuffled nor joined.
 """
 
 from __future__ import annotations
@@ -29,6 +29,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructField, StructType
 
+from .common import saved
 from .textwords import chunks, mix64, row_bounds, window_hashes, word_hashes, word_spans
 
 MAX_EDIT = 0.2
@@ -40,9 +41,9 @@ MOST_GRAM = 4
 SAMPLED = 3
 AGREEMENT = 0.35
 RECALL = 0.99
-#: Benchmark text sent to the tasks at once, and document text searched at once.
+#: Benchmark text sent to the tasks at once, and places of windows held at once.
 BLOCK_BYTES = 4 << 20
-CHUNK_BYTES = 8 << 20
+PLACES = 1 << 20
 LEAKS = "array<struct<item_id:long,distance:int,item_words:int,first_word:int>>"
 
 
@@ -96,7 +97,7 @@ class Items:
     ids: list[int | None]
     words: list[np.ndarray]
     edits: np.ndarray
-    grams: dict[int, tuple[np.ndarray, np.ndarray, np.ndarray]]  # q: sorted hashes, item, place
+    grams: dict[int, tuple[np.ndarray, np.ndarray, np.ndarray]]  # q: sorted hashes, size of the item, place in it; each once
     keys: dict[int, list[dict[int, list[int]]]]  # size: per table key -> items
     tables: int
 
@@ -116,12 +117,15 @@ def prepared(items: list[tuple[int | None, str]], max_edit: float, tables: int)
     for i, w in enumerate(words):
         q = min(MOST_GRAM, max(1, len(w) // (int(edits[i]) + 1)))
         h = window_hashes(w, q)
-        grams.setdefault(q, []).append((h, np.full(len(h), i), np.arange(len(h))))
+        grams.setdefault(q, []).append((h, np.full(len(h), len(w)), np.arange(len(h))))
     sorted_grams = {}
     for q, parts in grams.items():
-        h, i, p = (np.concatenate(x) for x in zip(*parts))
-        order = np.argsort(h, kind="stable")
-        sorted_grams[q] = (h[order], i[order], p[order])
+        found = [np.concatenate(x) for x in zip(*parts)]
+        order = np.lexsort(found[::-1])
+        h, size, place = (x[order] for x in found)
+        # items of one size that share a stretch place the same windows
+        new = np.concatenate([[True], (h[1:] != h[:-1]) | (size[1:] != size[:-1]) | (place[1:] != place[:-1])])
+        sorted_grams[q] = (h[new], size[new], place[new])
     keys: dict[int, list[dict[int, list[int]]]] = {}
     for size in sorted({len(w) for w in words}):
         mine = [i for i, w in enumerate(words) if len(w) == size]
@@ -137,8 +141,7 @@ def prepared(items: list[tuple[int | None, str]], max_edit: float, tables: int)
 def placed_windows(words: np.ndarray, row: np.ndarray, items: Items) -> np.ndarray:
     """Distinct (row, size, start) where an item's q-gram stands; start within the chunk, perhaps before the row."""
     found = []
-    sizes = np.array([len(w) for w in items.words])
-    for q, (known, item, place) in items.grams.items():
+    for q, (known, size, place) in items.grams.items():
         grams = window_hashes(words, q)
         if not len(grams):
             continue
@@ -146,12 +149,16 @@ def placed_windows(words: np.ndarray, row: np.ndarray, items: Items) -> np.ndarr
         bits[(known & np.uint64(0xFFFFF)).astype(np.int64)] = True
         at = np.flatnonzero(bits[(grams & np.uint64(0xFFFFF)).astype(np.int64)] & (row[: len(grams)] == row[q - 1 :]))
         lo, hi = np.searchsorted(known, grams[at], "left"), np.searchsorted(known, grams[at], "right")
-        many = hi - lo
-        at, lo = np.repeat(at, many), np.repeat(lo, many)
-        if not len(at):
-            continue
-        k = lo + np.arange(len(at)) - np.repeat(np.cumsum(many) - many, many)
-        found.append(np.column_stack([row[at], sizes[item[k]], at - place[k]]))
+        upto = np.cumsum(hi - lo)
+        begin = 0
+        while begin < len(at):  # about PLACES at once, duplicates go before the next
+            before = upto[begin - 1] if begin else 0
+            stop = max(begin + 1, int(np.searchsorted(upto, before + PLACES, "right")))
+            many = (hi - lo)[begin:stop]
+            stands = np.repeat(at[begin:stop], many)
+            k = np.repeat(lo[begin:stop] - (np.cumsum(many) - many), many) + np.arange(len(stands))
+            found.append(np.unique(np.column_stack([row[stands], size[k], stands - place[k]]), axis=0))
+            begin = stop
     return np.unique(np.concatenate(found), axis=0) if found else np.zeros((0, 3), np.int64)
 
 
@@ -208,6 +215,8 @@ def find_leaks(docs: DataFrame, benchmark: DataFrame, max_edit: float = MAX_EDIT
     blocks = max(1, -(-total // BLOCK_BYTES))
     out = docs.withColumn("leaks", F.array().cast(LEAKS))
     for number in range(blocks):
+        if number:
+            out = saved(out, "leaks")  # one pass, and one block in a task's memory, at a time
         mine = items.where(F.pmod(F.xxhash64("item_id", "text"), F.lit(blocks)) == number).orderBy("item_id", "text").collect()
         sent = spark.sparkContext.broadcast(prepared([(r[0], r[1]) for r in mine], max_edit, tables_for(recall)))
         whole = StructType([*out.schema.fields, StructField("_found", out.schema["leaks"].dataType)])
@@ -216,7 +225,7 @@ def find_leaks(docs: DataFrame, benchmark: DataFrame, max_edit: float = MAX_EDIT
         def run(batches: Iterator[pa.RecordBatch], sent=sent, arrow=arrow) -> Iterator[pa.RecordBatch]:
             ready = sent.value
             for batch in batches:
-                for rows, data, offsets in chunks(batch, "text", CHUNK_BYTES):
+                for rows, data, offsets in chunks(batch, "text"):
                     row, start, end = word_spans(data, offsets, letters_only=True)
                     words = word_hashes(data, start, end, lower=True)
                     got = leaks_of(words, row, rows.num_rows, ready)

@@ -374,6 +374,58 @@ def test_leaks_at_the_largest_distance_are_found(size):
     assert len(got) >= 0.99 * len(texts)
 
 
+def test_items_with_a_common_opening_share_their_places():
+    """Memory of placing windows does not grow with the items that share a stretch."""
+    import tracemalloc
+
+    rng = random.Random(1)
+    opening = "which of the following is the best answer to the question below "
+    data = np.frombuffer(((opening + "x y z ") * 1300).encode(), np.uint8)
+    row, start, end = word_spans(data, np.array([0, len(data)]), letters_only=True)
+    hashes = word_hashes(data, start, end, lower=True)
+    placed = {}
+    for n in (50, 800):
+        items = dec.prepared([(k, opening + prose(rng, 12, 5000)) for k in range(n)], 0.2, 1)
+        tracemalloc.start()
+        placed[n] = dec.placed_windows(hashes, row, items)
+        assert tracemalloc.get_traced_memory()[1] < 50e6
+        tracemalloc.stop()
+    assert len(placed[50]) == 1300 and (placed[50] == placed[800]).all()
+
+
+def test_leaks_equal_a_search_of_all_windows(spark, monkeypatch):
+    """All stretches by exact distance; repeated rows, a very long text, blocks in separate passes."""
+    monkeypatch.setattr(dec, "BLOCK_BYTES", 300)
+    rng = random.Random(12)
+    vocabulary = [f"w{k}" for k in range(40)]
+    items = [(k, " ".join(rng.choices(vocabulary, k=rng.randrange(3, 16)))) for k in range(20)]
+    texts = []
+    for _ in range(60):
+        w = rng.choices(vocabulary, k=rng.randrange(0, 40))
+        for i, t in rng.sample(items, rng.randrange(3)):
+            t = words(t)
+            if rng.random() < 0.6:
+                t[rng.randrange(len(t))] = rng.choice(vocabulary)
+            at = rng.randrange(len(w) + 1)
+            w[at:at] = t
+        texts.append(" ".join(w))
+    texts += [texts[0], texts[1], " ".join(rng.choices(vocabulary[:20], k=30000)) + " " + items[3][1], None]
+    ids = [*range(60), 0, None, 100, 101]
+    number = {w: k for k, w in enumerate(vocabulary)}
+    want = set()
+    for d, t in zip(range(len(ids)), texts):
+        text = np.array([number[w] for w in words(t)], np.uint64)
+        for i, item in items:
+            item = np.array([number[w] for w in words(item)], np.uint64)
+            if len(text) and dec.infix_distance(item, text)[0] <= int(0.2 * len(item)):
+                want.add((d, i))
+    docs = spark.createDataFrame([(d, i, t) for d, (i, t) in enumerate(zip(ids, texts))], "row int, doc_id long, text string")
+    found = dec.find_leaks(docs, spark.createDataFrame(items, "item_id long, text string"))
+    got = {(r.row, r.item) for r in found.select("row", F.explode("leaks.item_id").alias("item")).collect()}
+    assert got <= want and len(got) >= 0.99 * len(want) and len(want) > 40
+    assert found.count() == len(ids)
+
+
 # --- passages ------------------------------------------------------------------
 
 
