@@ -1,10 +1,12 @@
 """Mixing sources to target weights by a low-discrepancy schedule (DataFrame only).
 
-A mix has one slot per word of the corpus. Golden-ratio points are mapped through
-the sources' cumulative shares: point i decides which source fills slot i. A
-source's documents are laid end to end in shuffled order; its r-th slot takes its
-word r modulo its size, so documents repeat only after the whole source was used.
-How many slots a source gets is counted in closed form, whatever their number.
+Every source is cut into blocks of equal numbers of tokens, at most ``BLOCKS`` of
+them, in shuffled document order; a slot of the mix takes one block. A source's
+share of the slots is its target over its block size, so slots follow the number of sources,
+not the corpus, and a small source has blocks of one token. Golden-ratio points are mapped through the
+cumulative shares: point i decides which source fills slot i. Slots are ranked within
+their source, the slot of rank r takes block r modulo the source's blocks, and documents
+are joined with how often the blocks under them are taken.
 """
 
 from __future__ import annotations
@@ -14,8 +16,10 @@ from pyspark.sql import functions as F
 
 from .common import saved, small, word_count
 
-#: The SQL of the query joins words to blocks beyond this many; the mix does not.
-SLOTS = 1 << 20
+#: Blocks of a source at most; a source's words miss its target by a few blocks.
+BLOCKS = 1 << 14
+#: Shares of slots are counted in parts of this.
+SHARE = 1 << 20
 #: Documents of one source laid out by one task, about.
 LAYOUT_ROWS = 10_000
 GOLDEN = 2654435769  # 2**32 times the golden ratio's fraction
@@ -25,11 +29,11 @@ FINE_BITS = 20
 FINE = 648055  # 2**20 times the golden ratio's fraction
 POINTS = RANGE << FINE_BITS
 CELL_BITS = 40
-PART_BITS = 20
+PART_BITS = 16
 
 
 def source_targets(sized: DataFrame, weights: tuple[int, ...], max_repeats: int) -> DataFrame:
-    """One row per source: sid, source, source_size, target, and its interval of points, lo to hi.
+    """One row per source: sid, source, source_size and target.
 
     The total of all sizes is shared by weight (sources by code point, null
     last, take ``weights`` in turn); a target stops at ``max_repeats`` times its
@@ -58,54 +62,30 @@ def source_targets(sized: DataFrame, weights: tuple[int, ...], max_repeats: int)
     target = F.when(F.col("capped"), F.col("cap").cast("double")).otherwise(
         F.col("weight").cast("double") * F.col("free_size").cast("double") / F.greatest("free_weight", F.lit(1)).cast("double")
     )
-    running = Window.orderBy("sid").rowsBetween(Window.unboundedPreceding, 0)
-    shares = level.withColumn("target", target).withColumn("upto", F.sum("target").over(running))
-    scaled = F.floor(F.col("upto") / F.greatest("all_size", F.lit(1)) * POINTS).cast("long")
-    last = F.max("sid").over(everything)
-    return (
-        shares.withColumn("hi", F.when(F.col("sid") == last, F.lit(POINTS)).otherwise(F.least(scaled, F.lit(POINTS))))
-        .withColumn("lo", F.coalesce(F.lag("hi").over(Window.orderBy("sid")), F.lit(0)))
-        .select("sid", "source", "source_size", "target", "lo", "hi")
-    )
-
-
-def _div(x: Column, y: Column) -> Column:
-    return F.call_function("div", x, y)
-
-
-def floor_sum(n: int, m: int, a: int, b: Column) -> Column:
-    """Sum of (a * i + b) div m over i from 0 to n - 1, by Euclid's steps (n up to 2**31, a below m up to 2**32)."""
-    names = ("n", "m", "a", "b", "sum")
-    start = F.struct(*[F.lit(v).cast("long").alias(k) for k, v in zip(names, (n, m, a))], b.cast("long").alias("b"), F.lit(0).cast("long").alias("sum"))
-
-    def step(s: Column, _: Column) -> Column:
-        n, m, a, b, done = (s[k] for k in names)
-        last = a % m * n + b % m
-        added = _div(n * (n - 1), F.lit(2)) * _div(a, m) + n * _div(b, m)
-        after = (_div(last, m), a % m, m, last % m, done + added)
-        return F.when(n == 0, s).otherwise(F.struct(*[c.alias(k) for k, c in zip(names, after)]))
-
-    return F.aggregate(F.sequence(F.lit(1), F.lit(64)), start, step, lambda s: s["sum"])
+    return level.select("sid", "source", "source_size", target.alias("target"))
 
 
-def _multiples_below(n: int, m: int, a: int, bound: Column, first: int = 0) -> Column:
-    """How many i below ``n`` have (a * i + first) mod m < ``bound``."""
-    return floor_sum(n, m, a, F.lit(first + m)) - floor_sum(n, m, a, F.lit(first + m) - bound)
+def with_blocks(targets: DataFrame) -> tuple[DataFrame, int]:
+    """``targets`` and block (tokens of a block), blocks, and the interval of points lo to hi;
+    and the number of slots of the whole mix. All whole numbers from the shares on."""
+    size = F.col("source_size")
+    block = F.greatest(_div(size + (BLOCKS - 1), F.lit(BLOCKS)), F.lit(1).cast("long"))
+    shares = targets.withColumn("block", block).withColumn("blocks", _div(size + F.col("block") - 1, F.col("block")))
+    share = F.floor(F.col("target") / F.greatest(size, F.lit(1)) * F.col("blocks") * SHARE).cast("long")
+    shares = shares.withColumn("share", share)
+    total = shares.agg(F.coalesce(F.sum("share"), F.lit(0))).first()[0]
+    upto = F.sum("share").over(Window.orderBy("sid").rowsBetween(Window.unboundedPreceding, 0))
 
+    def bound(share: Column) -> Column:
+        return _div(share.cast("decimal(38,0)") * F.lit(POINTS).cast("decimal(18,0)"), F.lit(max(total, 1)).cast("decimal(38,0)"))
 
-def points_below(slots: int, bound: Column) -> Column:
-    """How many of the first ``slots`` points (see ``point``) lie below ``bound``."""
-    rounds, rest = divmod(slots, RANGE)
-    coarse, fine = F.shiftright(bound, FINE_BITS), bound % (1 << FINE_BITS)
-    half = RANGE // 2
-    head, tail = min(rest, half), max(rest - half, 0)
+    placed = shares.withColumn("upto", upto)
+    placed = placed.withColumns({"lo": bound(F.col("upto") - F.col("share")), "hi": bound(F.col("upto"))})
+    return placed.drop("share", "upto"), (total + SHARE // 2) // SHARE
 
-    def part(x: Column) -> Column:  # half * GOLDEN is half, modulo RANGE
-        return _multiples_below(head, RANGE, GOLDEN, x) + _multiples_below(tail, RANGE, GOLDEN, x, half)
 
-    whole = F.lit(rounds) * coarse + F.lit(rounds) - _multiples_below(rounds, 1 << FINE_BITS, FINE, F.lit(1 << FINE_BITS) - fine)
-    on = F.lit(rounds * FINE % (1 << FINE_BITS)) + fine >= 1 << FINE_BITS
-    return whole + F.when(on, part(coarse + 1)).otherwise(part(coarse))
+def _div(x: Column, y: Column) -> Column:
+    return F.call_function("div", x, y)
 
 
 def point(slot: Column) -> Column:
@@ -114,60 +94,63 @@ def point(slot: Column) -> Column:
     return coarse * (1 << FINE_BITS) + ((1 << FINE_BITS) - 1) - _div(slot, F.lit(RANGE)) * FINE % (1 << FINE_BITS)
 
 
-def schedule(targets: DataFrame, slots: int, max_repeats: int) -> DataFrame:
-    """Slots (slot, sid, rank, epoch, word): which word of which source comes when.
+def schedule(sources: DataFrame, slots: int, max_repeats: int) -> DataFrame:
+    """Slots (slot, sid, rank, epoch, number): which block of which source comes when.
 
     Sources are matched by an equi-join on cells of the points. Ranks are counted
     in parts of the slots and the parts' counts are summed, so a source is many
     tasks. A source's slots beyond ``max_repeats`` passes stay unused.
     """
-    spark = targets.sparkSession
+    spark = sources.sparkSession
     points = spark.range(slots).select(F.col("id").alias("slot"), F.shiftright("id", PART_BITS).alias("part"), point(F.col("id")).alias("x"))
     points = points.withColumn("cell", F.shiftright("x", CELL_BITS))
-    cells = targets.where("lo < hi").withColumn(
+    cells = sources.where("lo < hi").select("sid", "blocks", "lo", "hi").withColumn(
         "cell", F.explode(F.sequence(F.shiftright("lo", CELL_BITS), F.shiftright(F.col("hi") - 1, CELL_BITS)))
     )
-    dealt = points.join(small(cells), "cell").where("x >= lo and x < hi").select("slot", "part", "sid", "source_size")
+    dealt = points.join(small(cells), "cell").where("x >= lo and x < hi").select("slot", "part", "sid", "blocks")
     counts = dealt.groupBy("sid", "part").agg(F.count(F.lit(1)).alias("n"))
     before = Window.partitionBy("sid").orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
     counts = counts.select("sid", "part", F.coalesce(F.sum("n").over(before), F.lit(0)).alias("base"))
     within = F.row_number().over(Window.partitionBy("sid", "part").orderBy("slot")).cast("long") - 1
     ranked = dealt.withColumn("inner", within).join(counts, ["sid", "part"]).withColumn("rank", F.col("base") + F.col("inner"))
-    ranked = ranked.where(F.col("rank") < F.col("source_size") * max_repeats)
-    return ranked.select("slot", "sid", "rank", F.expr("rank div source_size").alias("epoch"), F.expr("rank % source_size").alias("word"))
+    ranked = ranked.where(F.col("rank") < F.col("blocks") * max_repeats)
+    return ranked.select("slot", "sid", "rank", _div(F.col("rank"), F.col("blocks")).alias("epoch"), (F.col("rank") % F.col("blocks")).alias("number"))
+
+
+def block_use(sources: DataFrame, slots: int, max_repeats: int) -> DataFrame:
+    """sid, number, uses, before: how often each block is taken, and how many words of
+    its source's mix the blocks before it give. One row more than blocks, for the end."""
+    used = schedule(sources, slots, max_repeats).groupBy("sid", "number").agg(F.count(F.lit(1)).alias("uses"))
+    blocks = sources.select("sid", "block", "source_size", F.explode(F.sequence(F.lit(0).cast("long"), F.col("blocks"))).alias("number"))
+    blocks = blocks.join(used, ["sid", "number"], "left").withColumn("uses", F.coalesce("uses", F.lit(0).cast("long")))
+    tokens = F.least(F.col("block"), F.col("source_size") - F.col("number") * F.col("block"))
+    before = F.sum(F.col("uses") * tokens).over(Window.partitionBy("sid").orderBy("number").rowsBetween(Window.unboundedPreceding, -1))
+    return blocks.select("sid", "number", "uses", F.coalesce(before, F.lit(0)).cast("long").alias("before"))
 
 
-def laid_out(sized: DataFrame, targets: DataFrame, rows: int) -> DataFrame:
+def laid_out(sized: DataFrame, sources: DataFrame, rows: int) -> DataFrame:
     """Documents with their source's sid and first token's place in it.
 
-    The order within a source is that of md5(doc_id). The leading hex digits
-    cut a source, however large, into parts of about ``LAYOUT_ROWS`` documents
-    whose running sums are taken apart.
+    The order within a source is that of ``order``, an md5 of doc_id and text. Its
+    leading hex digits cut a source, however large, into parts of about ``LAYOUT_ROWS``
+    documents whose running sums are taken apart. Rows equal in both are one row until
+    their places are known, so a row repeated very often is no burden to its part.
     """
     digits = max(1, len(f"{max(rows // LAYOUT_ROWS, 1):x}"))
-    md5 = F.md5(F.coalesce(F.col("doc_id").cast("string"), F.lit("")))
-    keyed = (
-        sized.join(small(targets.withColumnRenamed("source", "of")), F.col("source").eqNullSafe(F.col("of")))
-        .drop("of")
-        .withColumn("order", md5)
-        .withColumn("part", F.substring("order", 1, digits))
-    )
-    parts = keyed.groupBy("sid", "part").agg(F.sum("size").alias("part_size"))
+    columns = ["doc_id", "source", "size", "order"]
+    copies = sized.groupBy(*columns).agg(F.count(F.lit(1)).alias("copies"))
+    of = small(sources.select("sid", F.col("source").alias("of"), "source_size", "target", "block"))
+    keyed = copies.join(of, F.col("source").eqNullSafe(F.col("of"))).drop("of").withColumn("part", F.substring("order", 1, digits))
+    keyed = saved(keyed, "mix-layout")
+    all_of = F.col("size") * F.col("copies")
+    parts = keyed.groupBy("sid", "part").agg(F.sum(all_of).alias("part_size"))
     before = Window.partitionBy("sid").orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
     parts = parts.select("sid", "part", F.coalesce(F.sum("part_size").over(before), F.lit(0)).alias("base"))
     within = Window.partitionBy("sid", "part").orderBy("order", "doc_id", "size").rowsBetween(Window.unboundedPreceding, -1)
-    return (
-        keyed.withColumn("inner", F.coalesce(F.sum("size").over(within), F.lit(0)))
-        .join(small(saved(parts, "mix-parts")), ["sid", "part"])
-        .withColumn("start", F.col("base") + F.col("inner"))
-        .select("doc_id", "size", "source", "source_size", "target", "used", "start")
-    )
-
-
-def with_use(targets: DataFrame, slots: int, max_repeats: int) -> DataFrame:
-    """``targets`` and ``used``: how many words of the source the first ``slots`` slots take."""
-    got = points_below(slots, F.col("hi")) - points_below(slots, F.col("lo"))
-    return targets.withColumn("used", F.least(got, F.col("source_size") * max_repeats))
+    placed = keyed.withColumn("inner", F.coalesce(F.sum(all_of).over(within), F.lit(0))).join(small(saved(parts, "mix-parts")), ["sid", "part"])
+    placed = placed.withColumn("copy", F.explode(F.sequence(F.lit(0).cast("long"), F.col("copies") - 1)))
+    start = F.col("base") + F.col("inner") + F.col("copy") * F.col("size")
+    return placed.select("doc_id", "size", "source", "sid", "source_size", "target", "block", start.alias("start"))
 
 
 def mix(docs: DataFrame, weights: tuple[int, ...] = (5, 2, 1), max_repeats: int = 3) -> DataFrame:
@@ -176,23 +159,29 @@ def mix(docs: DataFrame, weights: tuple[int, ...] = (5, 2, 1), max_repeats: int
 
     ``size`` counts words. ``taken`` is how many words of the row the mix takes,
     repeats counted: never more than ``max_repeats`` times its size. A source's
-    taken words differ from its target by a few words, however large the corpus.
+    taken words differ from its target by a few of its blocks, however large the corpus.
 
     Null or empty texts have size 0 and take 0. A null source is a source of its
     own, the last. Null doc_ids are laid out like any value. Rows repeated in
     doc_id, source and text are separate documents. An empty table gives an
-    empty result.
+    empty result. A very long text lies in many blocks and is one row throughout.
     """
-    return mix_sized(docs.select("doc_id", "source", word_count(F.col("text")).alias("size")), weights, max_repeats)
+    order = F.md5(F.concat(F.coalesce(F.col("doc_id").cast("string"), F.lit("")), F.lit(":"), F.coalesce("text", F.lit(""))))
+    return mix_sized(docs.select("doc_id", "source", word_count(F.col("text")).alias("size"), order.alias("order")), weights, max_repeats)
 
 
 def mix_sized(sized: DataFrame, weights: tuple[int, ...], max_repeats: int) -> DataFrame:
-    """``mix`` of rows whose size is known (doc_id, source, size)."""
+    """``mix`` of rows whose size is known (doc_id, source, size, order)."""
     sized = saved(sized, "mix-sizes")
-    total, rows = sized.agg(F.coalesce(F.sum("size"), F.lit(0)), F.count(F.lit(1))).first()
-    targets = saved(with_use(source_targets(sized, weights, max_repeats), total, max_repeats), "mix-targets")
-    placed = laid_out(sized, targets, rows)
-    # a source's slots cover whole passes and then its leading words
-    size = F.greatest("source_size", F.lit(1))
-    lead = F.least(F.col("size"), F.greatest(F.lit(0), F.col("used") % size - F.col("start")))
-    return placed.withColumn("taken", _div(F.col("used"), size) * F.col("size") + lead).select("doc_id", "size", "source", "source_size", "target", "taken")
+    sources, slots = with_blocks(saved(source_targets(sized, weights, max_repeats), "mix-targets"))
+    sources = saved(sources, "mix-sources")
+    use = small(saved(block_use(sources, slots, max_repeats), "mix-blocks"))
+    placed = laid_out(sized, sources, sized.count())
+
+    def upto(docs: DataFrame, at: str, name: str) -> DataFrame:
+        """How many words the mix takes of the source before the place ``at``."""
+        found = docs.withColumn("number", _div(F.col(at), F.col("block"))).join(use, ["sid", "number"])
+        return found.withColumn(name, F.col("before") + F.col("uses") * (F.col(at) - F.col("number") * F.col("block"))).drop("number", "uses", "before")
+
+    placed = upto(upto(placed.withColumn("end", F.col("start") + F.col("size")), "start", "first"), "end", "last")
+    return placed.select("doc_id", "size", "source", "source_size", "target", (F.col("last") - F.col("first")).alias("taken"))
