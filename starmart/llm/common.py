@@ -43,6 +43,17 @@ def small(df: DataFrame) -> DataFrame:
     return maybe_broadcast(df, BROADCAST_ROWS, BROADCAST_BYTES)
 
 
+def unused(df: DataFrame, *names: str) -> list[str]:
+    """The names, with underscores added where ``df`` has such a column (in any case)."""
+    taken, out = {c.lower() for c in df.columns}, []
+    for name in names:
+        while name.lower() in taken:
+            name += "_"
+        taken.add(name.lower())
+        out.append(name)
+    return out
+
+
 def join_groups(rows: DataFrame, groups: DataFrame, keys: list[str], how: str = "inner") -> DataFrame:
     """``rows`` joined with ``groups`` on ``keys`` so that no key overloads a task.
 
