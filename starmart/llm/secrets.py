@@ -13,7 +13,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import saved, small
+from .common import saved, small, unused
 from .trigrams import trigram_query
 
 
@@ -43,6 +43,8 @@ MORE_RULES = (
 )
 RULES = BASE_RULES + MORE_RULES
 SPAN = "array<struct<s:bigint,k:int,e:bigint>>"
+#: Matches whose positions are added up at once.
+RUN = 256
 
 
 def candidates(docs: DataFrame, rules: tuple[Rule, ...] = RULES) -> DataFrame:
@@ -72,10 +74,16 @@ def candidates(docs: DataFrame, rules: tuple[Rule, ...] = RULES) -> DataFrame:
     )
 
 
+def _bound(value: Column, use) -> Column:
+    """``use(value)`` with ``value`` evaluated once."""
+    return F.element_at(F.transform(F.array(value), use), 1)
+
+
 def rule_spans(text: Column, rule: Rule, order: int) -> Column:
     """Array of (start, order, end) of a rule's leftmost non-overlapping matches
     that count; code points, end exclusive. The gaps between the matches and the
-    matches' own lengths add up to the positions."""
+    matches' own lengths add up to the positions. They are added up in runs of
+    ``RUN`` matches and over the runs, so time grows with the number of matches."""
     pattern = F.lit(rule.pattern)
     found = F.regexp_extract_all(text, pattern, F.lit(0))
     told = found if rule.group == 0 else F.regexp_extract_all(text, pattern, F.lit(rule.group))
@@ -87,14 +95,24 @@ def rule_spans(text: Column, rule: Rule, order: int) -> Column:
             (F.coalesce(F.length(x["told"]), F.lit(0)) >= rule.least).alias("ok"),
         ),
     )
-    start = F.struct(F.lit(0).cast("long").alias("at"), F.array().cast(SPAN).alias("out"))
+    zero = F.lit(0).cast("long")
+    start = F.struct(zero.alias("at"), F.array().cast(SPAN).alias("out"))
 
     def step(acc, x):
         begin = acc["at"] + x["gap"]
         span = F.struct(begin.alias("s"), F.lit(order).alias("k"), (begin + x["len"]).alias("e"))
         return F.struct((begin + x["len"]).alias("at"), F.when(x["ok"], F.concat(acc["out"], F.array(span))).otherwise(acc["out"]).alias("out"))
 
-    return F.when(F.size(found) > 0, F.aggregate(steps, start, step, lambda acc: acc["out"])).otherwise(F.array().cast(SPAN))
+    def placed(runs):
+        before = F.aggregate(runs, F.array(zero), lambda acc, r: F.concat(acc, F.array(F.element_at(acc, -1) + r["at"])))
+        shift = lambda r, at: F.transform(r["out"], lambda x: F.struct((x["s"] + at).alias("s"), x["k"].alias("k"), (x["e"] + at).alias("e")))
+        return _bound(before, lambda b: F.flatten(F.transform(runs, lambda r, i: shift(r, F.get(b, i)))))
+
+    def runs_of(all_steps):
+        firsts = F.sequence(F.lit(1), F.size(all_steps), F.lit(RUN))
+        return _bound(F.transform(firsts, lambda a: F.aggregate(F.slice(all_steps, a, F.lit(RUN)), start, step)), placed)
+
+    return F.when(F.size(found) > 0, _bound(steps, runs_of)).otherwise(F.array().cast(SPAN))
 
 
 def find_secrets(docs: DataFrame, rules: tuple[Rule, ...] = RULES) -> DataFrame:
@@ -102,18 +120,20 @@ def find_secrets(docs: DataFrame, rules: tuple[Rule, ...] = RULES) -> DataFrame:
 
     Null and empty texts have no spans. Equal texts get equal spans; repeated
     rows stay. An empty table gives an empty result. Other columns are carried
-    along; a column named spans is replaced.
+    along, whatever their names; a column named spans is replaced. Very long texts and very
+    many matches take time in proportion.
     """
     found = saved(candidates(docs, rules), "secret-candidates")
     queried = {r.kind for r in rules if trigram_query(r.pattern) is not None}
-    body = F.xxhash64(F.col("text"))
-    marked = docs.drop("spans").withColumn("_body", body).join(small(found.withColumnsRenamed({"body": "_of", "kinds": "_kinds"})), F.col("_body") == F.col("_of"), "left")
+    kept = docs.drop("spans")
+    body, of, kinds = unused(kept, "body", "of", "kinds")
+    marked = kept.withColumn(body, F.xxhash64(F.col("text"))).join(small(found.toDF(of, kinds)), F.col(body) == F.col(of), "left")
     parts = []
     for order, rule in enumerate(rules):
         spans = rule_spans(F.col("text"), rule, order)
-        asked = F.array_contains("_kinds", rule.kind) if rule.kind in queried else F.col("text").rlike(rule.pattern)
+        asked = F.array_contains(kinds, rule.kind) if rule.kind in queried else F.col("text").rlike(rule.pattern)
         parts.append(F.when(asked, spans).otherwise(F.array().cast(SPAN)))
-    return marked.withColumn("spans", F.array_sort(F.concat(*parts))).drop("_body", "_of", "_kinds")
+    return marked.withColumn("spans", F.array_sort(F.concat(*parts))).drop(body, of, kinds)
 
 
 def span_text(spans: Column, rules: tuple[Rule, ...] = RULES) -> Column:
