@@ -10,7 +10,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import small
+from .common import join_groups, small
 
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 PARTS = r"(?s)^.*?://([^/?#]*)([^?#]*)"
@@ -51,19 +51,21 @@ def url_verdicts(pages: DataFrame, rules: DataFrame, url: str = "url", default:
 
     Null or malformed URLs have empty host and path. Repeated rows stay, each
     with its verdict; an empty table gives an empty result. Distinct (host,
-    path) are judged once, so a hot URL costs one row. Path prefixes are cut at
-    the lengths that rules have, so any rule path works; those lengths, at most
-    as many as a rule path has characters, are all that reaches the driver.
+    path) are judged once; a (host, path) that very many pages share is joined without
+    a shuffle. Host suffixes and path prefixes are cut at the lengths that rules have (in labels
+    and characters), so any rule works, and a very long URL costs as many expressions as
+    any other; those lengths are all that reaches the driver. Other columns are carried
+    along, whatever their names.
     """
     prepared = prepared_rules(rules)
-    lengths = sorted(r[0] for r in prepared.select(F.length("rule_path")).distinct().collect())
+    labels = F.size(F.split("rule_host", r"\."))
+    cuts = prepared.agg(F.collect_set(F.length("rule_path")), F.collect_set(labels)).first()
     judged = pages.drop("host", "path", "rule", "verdict").withColumns({"host": url_host(F.col(url)), "path": url_path(F.col(url))})
-    sites = judged.select("host", "path").distinct()
-    labels = F.split("host", r"\.")
-    suffixes = F.transform(F.sequence(F.lit(1), F.size(labels)), lambda i: F.array_join(F.slice(labels, i, F.size(labels)), "."))
-    prefixes = F.array(*[F.when(F.length("path") >= n, F.substring("path", 1, n)) for n in lengths]) if lengths else F.array().cast("array<string>")
+    sites = judged.groupBy("host", "path").agg(F.count(F.lit(1)).alias("n"))
+    suffixes = F.array(*(F.when(F.size(F.split("host", r"\.")) >= n, F.substring_index("host", ".", -n)) for n in sorted(cuts[1])), F.lit(None).cast("string"))
+    prefixes = F.array(*(F.when(F.length("path") >= n, F.substring("path", 1, n)) for n in sorted(cuts[0])), F.lit(None).cast("string"))
     expressions = (
-        sites.select("host", "path", F.explode(suffixes).alias("suffix"))
+        sites.select("host", "path", F.explode(F.array_compact(suffixes)).alias("suffix"))
         .select("host", "path", "suffix", F.explode(F.array_compact(prefixes)).alias("start"))
         .select("host", "path", F.sha2(F.concat("suffix", "start"), 256).alias("digest"))
         .withColumn("prefix", F.substring("digest", 1, PREFIX_HEX))
@@ -79,9 +81,6 @@ def url_verdicts(pages: DataFrame, rules: DataFrame, url: str = "url", default:
             ).alias("best")
         )
     )
-    return (
-        judged.join(best, ["host", "path"], "left")
-        .withColumn("rule", F.col("best.rule"))
-        .withColumn("verdict", F.coalesce("best.rule_verdict", F.lit(default)))
-        .drop("best")
-    )
+    found = sites.join(best, ["host", "path"], "left").select("host", "path", "n", F.col("best.rule").alias("rule"), F.col("best.rule_verdict").alias("verdict"))
+    out = join_groups(judged, found, ["host", "path"], "left").withColumn("verdict", F.coalesce("verdict", F.lit(default)))
+    return out.select(*(F.col(f"`{c}`") for c in judged.columns), "rule", "verdict")
