@@ -29,7 +29,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructField, StructType
 
-from .common import saved
+from .common import saved, unused
 from .textwords import chunks, mix64, row_bounds, window_hashes, word_hashes, word_spans
 
 MAX_EDIT = 0.2
@@ -193,7 +193,7 @@ def leaks_of(words: np.ndarray, row: np.ndarray, n_rows: int, items: Items) -> d
 
 def find_leaks(docs: DataFrame, benchmark: DataFrame, max_edit: float = MAX_EDIT, recall: float = RECALL) -> DataFrame:
     """``docs`` plus ``leaks``: array of (item_id, distance, item_words, first_word),
-    one per leaked item, by item_id (a column of that name is replaced).
+    one per leaked item, by item_id (a column of that name is replaced; others are carried along).
 
     Words are runs of letters and digits, A-Z lower-cased, so punctuation, spacing
     and ASCII case do not matter; each character of a script written without
@@ -219,7 +219,8 @@ def find_leaks(docs: DataFrame, benchmark: DataFrame, max_edit: float = MAX_EDIT
             out = saved(out, "leaks")  # one pass, and one block in a task's memory, at a time
         mine = items.where(F.pmod(F.xxhash64("item_id", "text"), F.lit(blocks)) == number).orderBy("item_id", "text").collect()
         sent = spark.sparkContext.broadcast(prepared([(r[0], r[1]) for r in mine], max_edit, tables_for(recall)))
-        whole = StructType([*out.schema.fields, StructField("_found", out.schema["leaks"].dataType)])
+        (new,) = unused(out, "found")
+        whole = StructType([*out.schema.fields, StructField(new, out.schema["leaks"].dataType)])
         arrow = to_arrow_schema(whole)
 
         def run(batches: Iterator[pa.RecordBatch], sent=sent, arrow=arrow) -> Iterator[pa.RecordBatch]:
@@ -236,7 +237,7 @@ def find_leaks(docs: DataFrame, benchmark: DataFrame, max_edit: float = MAX_EDIT
                         ]
                         for k in range(rows.num_rows)
                     ]
-                    yield pa.RecordBatch.from_arrays([*rows.columns, pa.array(cells, arrow.field("_found").type)], names=arrow.names)
+                    yield pa.RecordBatch.from_arrays([*rows.columns, pa.array(cells, arrow.field(len(arrow) - 1).type)], names=arrow.names)
 
-        out = out.mapInArrow(run, whole).withColumn("leaks", F.concat("leaks", "_found")).drop("_found")
+        out = out.mapInArrow(run, whole).withColumn("leaks", F.concat("leaks", new)).drop(new)
     return out.withColumn("leaks", F.array_sort("leaks"))
