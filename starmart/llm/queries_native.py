@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from .common import table
 from .line_dedup import dedup_lines
-from .mixing import SLOTS, mix
+from .mixing import BLOCKS, FINE, FINE_BITS, GOLDEN, RANGE, SHARE, mix
 from .secrets import find_secrets, span_text
 from .url_filter import url_verdicts
 
@@ -47,10 +47,10 @@ def op4_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mix(table(spark, sf_dir, "documents").select("doc_id", "text", "source")).select("doc_id", "size", "source_size", "target", "taken")
 
 
-#: Written without blocks: a source's slots cover whole passes and then a leading stretch of its tokens.
 OP4_SQL = f"""
 WITH sized AS (
-  SELECT doc_id, source, len(regexp_extract_all(coalesce(text, ''), '[^\\x20\\x09-\\x0D]+'))::BIGINT AS size FROM documents),
+  SELECT doc_id, source, len(regexp_extract_all(coalesce(text, ''), '[^\\x20\\x09-\\x0D]+'))::BIGINT AS size,
+         md5(coalesce(doc_id::VARCHAR, '') || ':' || coalesce(text, '')) AS ord, row_number() OVER () AS n FROM documents),
 s0 AS (SELECT source, sum(size)::BIGINT AS source_size FROM sized GROUP BY source),
 s1 AS (SELECT *, row_number() OVER (ORDER BY source ASC NULLS LAST) AS sid FROM s0),
 s2 AS (SELECT *, [5, 2, 1][((sid - 1) % 3 + 1)::INT]::BIGINT AS weight, source_size * 3 AS cap,
@@ -62,24 +62,23 @@ s4 AS (SELECT *, cap * left_weight <= weight * left_size AS capped FROM s3),
 s5 AS (SELECT *, CASE WHEN capped THEN cap::DOUBLE ELSE weight::DOUBLE
               * (all_size - sum(CASE WHEN capped THEN cap ELSE 0 END) OVER ())::BIGINT::DOUBLE
               / greatest(sum(CASE WHEN capped THEN 0 ELSE weight END) OVER (), 1)::BIGINT::DOUBLE END AS target FROM s4),
-s6 AS (SELECT *, sum(target) OVER (ORDER BY sid ROWS UNBOUNDED PRECEDING) AS upto FROM s5),
-s7 AS (SELECT *, CASE WHEN sid = max(sid) OVER () THEN 4294967296
-              ELSE least(floor(upto / greatest(all_size, 1) * 4294967296)::BIGINT, 4294967296) END AS hi FROM s6),
-s8 AS (SELECT *, coalesce(lag(hi) OVER (ORDER BY sid), 0) AS lo,
-              greatest(1, (all_size + {SLOTS - 1}) // {SLOTS}) AS block FROM s7),
-points AS (SELECT (i * 2654435769) % 4294967296 AS x
-           FROM (SELECT unnest(range(0, (max(all_size) + max(block) - 1) // max(block))) AS i FROM s8)),
-counted AS (SELECT sid, count(*) AS got FROM points JOIN s8 ON x >= lo AND x < hi GROUP BY sid),
-s9 AS (SELECT s8.*, least(coalesce(got, 0), 3 * ((source_size + block - 1) // block)) AS used,
-              (source_size + block - 1) // block AS blocks FROM s8 LEFT JOIN counted USING (sid)),
-docs AS (SELECT d.doc_id, d.size, s9.*,
-                coalesce(sum(d.size) OVER (PARTITION BY sid ORDER BY md5(coalesce(d.doc_id::VARCHAR, '')), d.doc_id, d.size
+s6 AS (SELECT sid, source, source_size, target, greatest((source_size + {BLOCKS - 1}) // {BLOCKS}, 1) AS block FROM s5),
+s7 AS (SELECT *, (source_size + block - 1) // block AS blocks FROM s6),
+s8 AS (SELECT *, floor(target / greatest(source_size, 1)::DOUBLE * blocks::DOUBLE * {SHARE})::BIGINT AS share FROM s7),
+s9 AS (SELECT *, sum(share) OVER (ORDER BY sid)::HUGEINT AS upto, greatest(sum(share) OVER (), 1)::HUGEINT AS total FROM s8),
+bounds AS (SELECT *, (upto - share) * {RANGE << FINE_BITS} // total AS lo, upto * {RANGE << FINE_BITS} // total AS hi FROM s9),
+points AS (SELECT i, ((i * {GOLDEN}) % {RANGE}) * {1 << FINE_BITS} + {(1 << FINE_BITS) - 1} - ((i // {RANGE}) * {FINE}) % {1 << FINE_BITS} AS x
+           FROM (SELECT unnest(range(0, ((max(total) + {SHARE // 2}) // {SHARE})::BIGINT)) AS i FROM s9 WHERE upto > 0)),
+ranked AS (SELECT sid, blocks, row_number() OVER (PARTITION BY sid ORDER BY i) - 1 AS rank FROM points JOIN bounds ON x >= lo AND x < hi),
+uses AS (SELECT sid, rank % blocks AS k, count(*) AS uses FROM ranked WHERE rank < 3 * blocks GROUP BY ALL),
+docs AS (SELECT d.n, d.doc_id, d.size, sid, source_size, target, block,
+                coalesce(sum(d.size) OVER (PARTITION BY sid ORDER BY ord, d.doc_id, d.size, d.n
                          ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0)::BIGINT AS start
-         FROM sized d JOIN s9 ON d.source IS NOT DISTINCT FROM s9.source)
-SELECT doc_id, size, source_size, target,
-       CASE WHEN size = 0 THEN 0 ELSE (used // blocks) * size
-         + greatest(0, least(start + size, (used % blocks) * block) - start) END::BIGINT AS taken
-FROM docs
+         FROM sized d JOIN bounds b ON d.source IS NOT DISTINCT FROM b.source),
+spread AS (SELECT n, sid, size, block, start, unnest(range(start // block, (start + size - 1) // block + 1)) AS k FROM docs WHERE size > 0),
+got AS (SELECT n, sum(uses * (least(start + size, (k + 1) * block) - greatest(start, k * block)))::BIGINT AS taken
+        FROM spread JOIN uses USING (sid, k) GROUP BY n)
+SELECT doc_id, size, source_size, target, coalesce(taken, 0)::BIGINT AS taken FROM docs LEFT JOIN got USING (n)
 """
 
 
@@ -130,12 +129,13 @@ def op10_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 OP10_SQL = """
 WITH lined AS (
-  SELECT doc_id, text, CASE WHEN text IS NULL THEN [] ELSE string_split(text, chr(10)) END AS l, row_number() OVER () AS n FROM documents),
+  SELECT doc_id, text, CASE WHEN text IS NULL THEN [] ELSE string_split(text, chr(10)) END AS l, row_number() OVER () AS n,
+         ('0x' || left(md5(coalesce(text, '')), 15))::BIGINT AS body FROM documents),
 wins AS (
-  SELECT n, doc_id, i, [l[i], l[i + 1], l[i + 2]] AS w
-  FROM (SELECT n, doc_id, l, unnest(range(1, len(l) - 1)) AS i FROM lined)),
+  SELECT n, doc_id, body, i, [l[i], l[i + 1], l[i + 2]] AS w
+  FROM (SELECT n, doc_id, body, l, unnest(range(1, len(l) - 1)) AS i FROM lined)),
 later AS (
-  SELECT n, i FROM (SELECT n, i, row_number() OVER (PARTITION BY w ORDER BY doc_id NULLS LAST, i) AS occ FROM wins) WHERE occ > 1),
+  SELECT n, i FROM (SELECT n, i, rank() OVER (PARTITION BY w ORDER BY doc_id NULLS LAST, body, i) AS occ FROM wins) WHERE occ > 1),
 gone AS (SELECT DISTINCT n, i + k AS i FROM later, (VALUES (0), (1), (2)) AS o(k)),
 kept AS (
   SELECT n, string_agg(line, chr(10) ORDER BY i) AS text, count(*) AS n_kept

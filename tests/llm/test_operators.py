@@ -188,35 +188,49 @@ def test_mix_reaches_targets_and_caps_repeats(spark, docs, none):
     assert mix(none).count() == 0
 
 
-def test_mix_counts_equal_the_schedule(spark):
-    sized = spark.createDataFrame([(k, f"s{k % 7}", 5 + k * k % 97) for k in range(60)], "doc_id long, source string, size long")
-    total = sized.agg(F.sum("size")).first()[0]
-    targets = mixing.with_use(mixing.source_targets(sized, (5, 2, 1), 3), total, 3)
-    slots = mixing.schedule(targets, total, 3).collect()
-    by = {}
-    for r in sorted(slots):
-        by.setdefault(r.sid, []).append((r.rank, r.epoch, r.word))
-    for r in targets.collect():
-        assert by[r.sid] == [(k, k // r.source_size, k % r.source_size) for k in range(r.used)]
-
-
-def test_points_below_equals_counting(spark, monkeypatch):
-    for bits, golden in ((32, mixing.GOLDEN), (10, 633)):  # with 2**10 points a round, rounds and rests are counted too
-        monkeypatch.setattr(mixing, "RANGE", 1 << bits)
-        monkeypatch.setattr(mixing, "GOLDEN", golden)
-        for slots in (0, 1, 1000, 4096, 70007):
-            points = spark.range(slots).select(mixing.point(F.col("id")).alias("x")).toPandas()["x"].to_numpy()
-            top = 1 << (bits + mixing.FINE_BITS)
-            bounds = [0, 1, top // 3, top // 2, top - 1, top, *(points[:20] + 1), *points[-20:]]
-            frame = spark.createDataFrame([(int(b),) for b in bounds], "b long").select("b", mixing.points_below(slots, F.col("b")).alias("n"))
-            assert [r.n for r in frame.collect()] == [int((points < r.b).sum()) for r in frame.collect()]
+@pytest.mark.parametrize("blocks", [1 << 14, 8])
+def test_mix_takes_the_blocks_of_the_schedule(spark, monkeypatch, blocks):
+    """Word by word: every slot takes its block's words in the order of the layout."""
+    monkeypatch.setattr(mixing, "BLOCKS", blocks)
+    rows = [(k if k % 4 else None, f"s{k % 7}", 5 + k * k % 97, f"{k * 37 % 61:x}") for k in range(60)] + [(None, "s0", 9, "0"), (None, "s0", 9, "0"), (5, "s9", 0, "1")]
+    sized = spark.createDataFrame(rows, "doc_id long, source string, size long, order string")
+    sources, slots = mixing.with_blocks(mixing.source_targets(sized, (5, 2, 1), 3))
+    sources = {r.sid: r for r in sources.collect()}
+    frame = spark.createDataFrame(list(sources.values()))
+    dealt = sorted((r.slot, r.sid, r.rank, r.epoch, r.number) for r in mixing.schedule(frame, slots, 3).collect())
+    taken = {sid: [0] * r.source_size for sid, r in sources.items()}
+    ranks = dict.fromkeys(sources, 0)
+    for _, sid, rank, epoch, number in dealt:
+        r = sources[sid]
+        assert rank == ranks[sid] == epoch * r.blocks + number
+        ranks[sid] += 1
+        for at in range(number * r.block, min((number + 1) * r.block, r.source_size)):
+            taken[sid][at] += 1
+    want, place = [], dict.fromkeys(sources, 0)
+    sid_of = {r.source: sid for sid, r in sources.items()}
+    for doc_id, source, size, order in sorted(rows, key=lambda r: (r[3], r[0] is not None, r[0], r[2])):
+        sid = sid_of[source]
+        want.append((doc_id, source, size, sum(taken[sid][place[sid] : place[sid] + size])))
+        place[sid] += size
+    got = mixing.mix_sized(sized, (5, 2, 1), 3).collect()
+    assert key((r.doc_id, r.source, r.size, r.taken) for r in got) == key(want)
+
+
+def test_repeated_and_null_ids_are_spread_over_the_layout(spark):
+    rows = [(None, "s", k % 50, f"{k % 4000:04x}"[::-1]) for k in range(12000)] + [(None, "s", 7, "00aa")] * 9000
+    sized = spark.createDataFrame(rows, "doc_id long, source string, size long, order string")
+    sources, _ = mixing.with_blocks(mixing.source_targets(sized, (1,), 3))
+    placed = mixing.laid_out(sized, sources, 1 << 20)
+    starts = sorted((r.start, r.size) for r in placed.collect())
+    assert len(starts) == len(rows) and all(a + n == b for (a, n), (b, _) in zip(starts, starts[1:]) if n)
 
 
 @pytest.mark.parametrize("big", [10**7, 10**10, 10**13])
 def test_mix_meets_the_targets_of_small_sources(spark, big):
     # 1,000 words in documents of 10, 500 words and 7 words, beside a source of many words
     rows = [(k, "c", big // 100) for k in range(100)] + [(1000 + k, "a", 10) for k in range(100)] + [(2000, "b", 500), (2001, None, 7)]
-    got = mixing.mix_sized(spark.createDataFrame(rows, "doc_id long, source string, size long"), (5, 2, 1), 3).collect()
+    sized = spark.createDataFrame(rows, "doc_id long, source string, size long").withColumn("order", F.md5(F.col("doc_id").cast("string")))
+    got = mixing.mix_sized(sized, (5, 2, 1), 3).collect()
     taken = {s: sum(r.taken for r in got if r.source == s) for s in ("a", "b", None)}
     assert all(r.taken <= 3 * r.size for r in got)
     assert {r.source: r.target for r in got if r.source != "c"} == {"a": 3000, "b": 1500, None: 21}
