@@ -281,6 +281,8 @@ def jaccard_components(docs: DataFrame, n: int = 5, num: int = 4, den: int = 5,
         return pa.table({"u": node[linked], "v": node[label[linked]]})
 
     links = saved(dealt.groupBy("cluster", "x", "y").applyInArrow(multiply, "u long, v long"), "gram-links")
+    for sent in (first_tags, repeated, wanted):
+        sent.destroy()
     roots = connected(links)
     named = sets.select("at", "body", "size", "node").join(roots, "node", "left").withColumn("component", F.coalesce("root", "node")).drop("node", "root")
     named = saved(named, "gram-components")
