@@ -396,10 +396,12 @@ SELECT 'fact_immigration' AS table_name, COUNT(*) AS rows,
        COUNT(*) - COUNT(DISTINCT immigration_id) AS duplicate_keys
 FROM f
 UNION ALL
-SELECT 'dimension_states', COUNT(*), CAST(0 AS BIGINT), CAST(0 AS BIGINT) FROM states
+SELECT 'dimension_states', COUNT(*), COUNT(*) FILTER (WHERE state_name IS NULL), COUNT(state_name) - COUNT(DISTINCT state_name) FROM states
 UNION ALL
-SELECT 'dimension_origin', COUNT(*), CAST(0 AS BIGINT), CAST(0 AS BIGINT) FROM origin
+SELECT 'dimension_origin', COUNT(*), COUNT(*) FILTER (WHERE country_code IS NULL), COUNT(country_code) - COUNT(DISTINCT country_code) FROM origin
 UNION ALL
-SELECT 'dimension_unemployment', COUNT(*), CAST(0 AS BIGINT), CAST(0 AS BIGINT) FROM unemployment
+SELECT 'dimension_unemployment', COUNT(*), COUNT(*) FILTER (WHERE year IS NULL OR month IS NULL OR state IS NULL),
+       COUNT(*) FILTER (WHERE year IS NOT NULL AND month IS NOT NULL AND state IS NOT NULL)
+       - COUNT(DISTINCT CASE WHEN year IS NOT NULL AND month IS NOT NULL AND state IS NOT NULL THEN (year, month, state) END) FROM unemployment
 """,
 }

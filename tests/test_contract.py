@@ -8,7 +8,7 @@ import pytest
 import __spark_entry__ as E
 from starmart.plans.queries import QUERIES
 from tests.conftest import SF_SMALL
-from tools.compare import TABLES, frame_hash
+from tools.compare import TABLES, frame_hash, type_differences
 
 NAMES = sorted(QUERIES)
 
@@ -28,8 +28,9 @@ def test_every_query_has_an_oracle():
 
 @pytest.mark.parametrize("name", NAMES)
 def test_query_matches_oracle(spark, duck, name):
-    got = E.queries()[name](spark, SF_SMALL).toPandas()
-    want = duck.execute(E.oracle_sql()[name]).df()
+    frame, relation = E.queries()[name](spark, SF_SMALL), duck.sql(E.oracle_sql()[name])
+    assert type_differences(frame, relation) == {}
+    got, want = frame.toPandas(), relation.df()
     assert sorted(got.columns) == sorted(want.columns)
     assert len(got) == len(want)
     assert frame_hash(got) == frame_hash(want)
